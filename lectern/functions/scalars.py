@@ -65,7 +65,7 @@ def path_join(*segments: Column | str) -> Column:
     return F.concat_ws("/", *heads, cleaned[-1])
 
 
-def test_outcome(exit_code: Column | str, stdout: Column | str, stderr: Column | str) -> list[Column]:
+def run_outcome(exit_code: Column | str, stdout: Column | str, stderr: Column | str) -> list[Column]:
     """``is_success`` and ``output`` of one test run."""
     empty = F.lit("")
     output = F.concat(F.coalesce(as_column(stdout), empty), F.coalesce(as_column(stderr), empty))
