@@ -6,10 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.operators.positions import with_position
 from lectern.sources.stages import is_complete
 
+_BATCH = T.StructField("batch_id", T.IntegerType())
+
 
 def checkpointed_batches(
     df: DataFrame,
@@ -37,7 +40,7 @@ def checkpointed_batches(
     source_path, done_path = f"{path}/input", f"{path}/done"
     if not is_complete(spark, source_path):
         numbered().write.mode("overwrite").partitionBy("batch_id").parquet(source_path)
-    schema = df.schema.add("batch_id", "int")
+    schema = T.StructType([*df.schema.fields, _BATCH])
     source = spark.read.schema(schema).parquet(source_path)
 
     last = source.agg(F.max("batch_id")).first()[0]
@@ -55,5 +58,5 @@ def checkpointed_batches(
         return empty.withColumn("batch_id", F.lit(None).cast("int"))
     reader = spark.read
     if out_schema is not None:
-        reader = reader.schema(out_schema.add("batch_id", "int"))
+        reader = reader.schema(T.StructType([*out_schema.fields, _BATCH]))
     return reader.parquet(done_path)

@@ -15,8 +15,7 @@ def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
 
 def texts_of(listed: DataFrame, texts: DataFrame, key: str = "file_path") -> DataFrame:
     """The text of each listed file; a file that does not exist has an empty text."""
-    found = texts.select(F.col("file_path").alias(key), "text")
-    return listed.join(found, key, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    return listed.join(texts.select(key, "text"), key, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def write_texts(df: DataFrame, path: str, name: str, text: str = "text") -> None:

@@ -52,5 +52,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
