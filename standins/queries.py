@@ -130,7 +130,7 @@ def csv_roundtrip(spark, d):
 
 @query("""
 select d.file_pos, coalesce(length(u.text) + 1, 0) as chars,
-       md5(coalesce(concat(u.text, chr(10)), '')) as content
+       md5(case when u.text is null then '' else concat(u.text, chr(10)) end) as content
 from docs d left join useful_docs u on u.file_pos = d.file_pos""")
 def text_corpus_load(spark, d):
     path = fresh_path(spark, "texts")

@@ -26,20 +26,17 @@ select c.c_custkey as id,
        split_part(d.text, '.', 1) as description,
        d.text as readme,
        case when c.c_acctbal >= 0 then c.c_mktsegment end as documentation,
-       p.url as homepage
+       case when c.c_nationkey <> 7 then p.url end as homepage
 from customer c
 left join (select o_custkey, min(o_orderdate) as first_order from orders group by o_custkey) o
        on o.o_custkey = c.c_custkey
-left join documents d on d.doc_id = c.c_custkey % (select count(*) from documents)
-left join pages p on p.page_id = c.c_custkey % (select 2 * count(*) from pages)""",
+left join documents d on d.doc_id = c.c_custkey
+left join pages p on p.page_id = cast((c.c_custkey - c.c_custkey % 6) / 6 as bigint)""",
     "crate_downloads": """
 select o_custkey as crate_id, count(*) as downloads
 from orders where o_orderstatus = 'F' group by o_custkey""",
     "versions": "select o_orderkey as id, o_custkey as crate_id from orders",
-    "dependencies": """
-select l_orderkey as version_id,
-       l_partkey % (select count(*) from customer) as crate_id
-from lineitem""",
+    "dependencies": "select l_orderkey as version_id, l_partkey as crate_id from lineitem",
     "docs": """
 select doc_id as file_pos,
        concat('docs/', source, '/', cast(doc_id as varchar(20)), '.', lang, '.md') as file_path,
