@@ -32,7 +32,7 @@ def default_when_empty(text: Column | str, default: Column | str) -> Column:
 
 def default_when_absent(df: DataFrame, column: str, default: str) -> Column:
     """The column as it is if the table has it, else the default."""
-    return F.col(column) if column in df.columns else F.lit(default).alias(column)
+    return F.col(column) if column in df.columns else F.lit(default)
 
 
 def uuid_layout(hex32: Column) -> Column:

@@ -70,10 +70,20 @@ def parse_structured(
     return checked.withColumn(parsed, typed).drop(loose)
 
 
+def checked_rows(df: DataFrame, check: Column) -> DataFrame:
+    """A filter that sees every row.
+
+    Spark moves the filters of later steps past an ordinary filter, down to the
+    scan, and the rows they drop would go unchecked.  It does not move them past
+    a non-deterministic one, so a row id that is never negative is added.
+    """
+    return df.where(check & (F.monotonically_increasing_id() >= 0))
+
+
 def fail_unless(df: DataFrame, condition: Column, message: Column) -> DataFrame:
     """Stop the job at the first row that breaks the condition.
 
     A filter, so that column pruning cannot skip the check.
     """
     stop = F.raise_error(message).cast("boolean")
-    return df.where(F.when(condition, F.lit(True)).otherwise(stop))
+    return checked_rows(df, F.when(condition, F.lit(True)).otherwise(stop))

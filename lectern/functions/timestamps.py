@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _DATE = r"\d{4}-\d{2}-\d{2}"
-_TIME = r"\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?"
+_MINUTE = r"\d{2}:\d{2}"
+_TIME = _MINUTE + r"(:\d{2}(\.\d{1,6})?)?"
 _ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)"
 
 
@@ -19,9 +20,10 @@ def parse_iso_timestamp(text: Column | str) -> Column:
     whatever the session zone is.
     """
     value = F.col(text) if isinstance(text, str) else text
+    with_seconds = F.regexp_replace(value, f"^({_DATE}[T ]{_MINUTE})({_ZONE}?)$", "$1:00$2")
     zoned = (
         F.when(value.rlike(f"^{_DATE}$"), F.concat(value, F.lit("T00:00:00Z")))
-        .when(value.rlike(f"^{_DATE}[T ]{_TIME}$"), F.concat(value, F.lit("Z")))
-        .when(value.rlike(f"^{_DATE}[T ]{_TIME}{_ZONE}$"), value)
+        .when(value.rlike(f"^{_DATE}[T ]{_TIME}$"), F.concat(with_seconds, F.lit("Z")))
+        .when(value.rlike(f"^{_DATE}[T ]{_TIME}{_ZONE}$"), with_seconds)
     )
     return F.try_to_timestamp(zoned)

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.scalars import (
+    default_when_absent,
     default_when_empty,
     generation_status,
     path_basename,
     prefixed_id,
 )
-from lectern.operators.relational import with_status
+from lectern.operators.relational import lookup_by_id, with_status
 
 
 def exam_gate(candidates: DataFrame) -> DataFrame:
@@ -56,6 +57,24 @@ def exam_rows(candidates: DataFrame, image_name: Column) -> DataFrame:
     )
 
 
+def _typed_exams(
+    rows: DataFrame, image: Column, project_dir: str, library_dir: str, project_name: str | None
+) -> DataFrame:
+    def repository(folder: str, name: str | None) -> Column:
+        given = path_basename(F.lit(folder)) if name is None else F.lit(name)
+        return F.struct(given.alias("name"), F.lit(folder).alias("local_dir"))
+
+    return rows.select(
+        "id",
+        image.alias("image_name"),
+        repository(project_dir, project_name).alias("project"),
+        repository(library_dir, None).alias("library"),
+        "solution_commit",
+        "problem_commit",
+        "question",
+    )
+
+
 def load_exams(
     rows: DataFrame,
     image_name: str,
@@ -66,30 +85,31 @@ def load_exams(
 ) -> DataFrame:
     """Typed exams from exam rows, with the repositories attached.
 
-    An empty image name takes the default.  Failed rows are left out unless
-    asked for: they have no commit to start an attempt from.
+    A missing or empty image name takes the default.  Failed rows are left out
+    unless asked for: they have no commit to start an attempt from.
     """
     usable = rows if include_failed else with_status(rows)
+    image = default_when_absent(rows, "image_name", image_name)
+    return _typed_exams(
+        usable, default_when_empty(image, image_name), project_dir, library_dir, project_name
+    )
 
-    def repository(folder: str, name: str | None) -> Column:
-        given = path_basename(F.lit(folder)) if name is None else F.lit(name)
-        return F.struct(given.alias("name"), F.lit(folder).alias("local_dir"))
 
-    if "image_name" in rows.columns:
-        image = default_when_empty("image_name", image_name)
-    else:
-        image = F.lit(image_name)
-    carried = [c for c in ("topic_key",) if c in rows.columns]
-    return usable.select(
-        *carried,
-        "id",
-        image.alias("image_name"),
-        repository(project_dir, project_name).alias("project"),
-        repository(library_dir, None).alias("library"),
-        "solution_commit",
-        "problem_commit",
-        "question",
-    )
+def load_exam(
+    rows: DataFrame,
+    exam_id: str,
+    image_name: str,
+    project_dir: str,
+    library_dir: str,
+    project_name: str | None = None,
+) -> DataFrame:
+    """One exam by id, whatever its status; ``ValueError`` if it is not there.
+
+    Here the default image is taken only when the table has no such column.
+    """
+    found = lookup_by_id(rows, exam_id)
+    image = default_when_absent(rows, "image_name", image_name)
+    return _typed_exams(found, image, project_dir, library_dir, project_name)
 
 
 def solve_rate(attempts: DataFrame, by: str = "with_library") -> DataFrame:

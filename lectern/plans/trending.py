@@ -82,9 +82,14 @@ def trending_packages(
         new_repositories.select("repository"), "repository"
     )
 
-    targets = R.project(new_packages, crate_id="id", target_repo="repository")
+    # The new packages keep their column names here, so that this join and the one
+    # with the candidates below read the same shuffled copy of them.
+    to_new = dependencies.select("version_id", "crate_id").join(
+        new_packages, F.col("crate_id") == F.col("id")
+    )
     edges = R.edges_with_owner(
-        dependencies.select("version_id", "crate_id").join(targets, "crate_id"), versions
+        R.project(to_new, version_id="version_id", crate_id="crate_id", target_repo="repository"),
+        versions,
     )
     pairs = R.distinct_rows(edges, "crate_id", "dependant_id", "target_repo")
     homes = R.project(packages, dependant_id="id", dependant_repo="repository").where(

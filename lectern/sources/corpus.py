@@ -18,11 +18,18 @@ def texts_of(listed: DataFrame, texts: DataFrame, key: str = "file_path") -> Dat
     return listed.join(texts.select(key, "text"), key, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
-def write_texts(df: DataFrame, path: str, name: str, text: str = "text") -> None:
-    """One file per row, in a folder ``name=value``; Spark ends each with a newline."""
+def write_texts(
+    df: DataFrame, path: str, name: str, text: str = "text", tasks: int | None = None
+) -> None:
+    """One file per row, in a folder ``name=value``; Spark ends each with a newline.
+
+    Making a file takes longer than its bytes do, so the rows are spread over
+    ``tasks`` writers (by default the parallelism of the cluster).
+    """
+    writers = tasks or df.sparkSession.sparkContext.defaultParallelism
     (
         df.select(F.col(name), F.col(text).alias("value"))
-        .repartition(name)
+        .repartition(writers, name)
         .write.mode("overwrite")
         .partitionBy(name)
         .text(path)

@@ -6,43 +6,53 @@ many files, or turn it into Parquet once with ``stage_once``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.functions.structured import checked_rows
+
 # Stands for null nowhere in the data, so that a quoted empty string stays one.
 _NO_NULL_TEXT = "\\N"
 
 
-def _reader(spark: SparkSession, schema: T.StructType, mode: str, multi_line: bool) -> DataFrameReader:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, mode: str, multi_line: bool
+) -> DataFrame:
+    """Columns are found by the names in the header; others in the file are not read."""
+    reader = (
+        spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", _NO_NULL_TEXT)
-        .option("mode", mode)
     )
+    header = reader.csv(path).columns
+    missing = set(schema.names) - set(header)
+    if missing:
+        raise ValueError(f"{path} has no column {sorted(missing)}")
+    declared = {f.name: f for f in schema.fields}
+    full = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
+    return reader.schema(full).option("mode", mode).csv(path).select(*schema.names)
 
 
 def read_csv_lenient(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
     """A value that does not parse becomes null and its row stays."""
-    return _reader(spark, schema, "PERMISSIVE", multi_line).csv(path)
+    return _read(spark, path, schema, "PERMISSIVE", multi_line)
 
 
 def read_csv_strict(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
 ) -> DataFrame:
-    """A value that does not parse fails the job, whichever columns are used.
+    """A value that does not parse fails the job, whichever columns and rows are used.
 
     The reader parses only the columns a query needs.  The filter is true for
     every row but takes all columns to find that out, so none is left unparsed.
     """
-    rows = _reader(spark, schema, "FAILFAST", multi_line).csv(path)
-    return rows.where(F.hash(*schema.names) >= F.lit(-(2**31)))
+    rows = _read(spark, path, schema, "FAILFAST", multi_line)
+    return checked_rows(rows, F.hash(*schema.names) >= F.lit(-(2**31)))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

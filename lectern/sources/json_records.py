@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.structured import fail_unless, parse_structured
 
 
+def _source() -> Column:
+    return F.col("_metadata.file_path").alias("source_file")
+
+
 def _checked(raw: DataFrame, schema: T.StructType) -> DataFrame:
     parsed = parse_structured(raw, "value", schema, "record", "valid")
-    message = F.concat(F.lit("record of the wrong type in "), F.col("file_path"))
+    message = F.concat(F.lit("record of the wrong type in "), F.col("source_file"))
     return fail_unless(parsed, F.col("valid"), message)
 
 
@@ -22,21 +26,21 @@ def load_json_document(
 
     ``path`` may be a folder or pattern with many documents, which are read in
     parallel.  A missing or mistyped field fails the job.  ``pos`` is the place
-    of the record in its document.
+    of the record in its document, ``source_file`` the document.
     """
-    raw = spark.read.text(path, wholetext=True).select("value", "_metadata.file_path")
+    raw = spark.read.text(path, wholetext=True).select("value", _source())
     holder = T.StructType([
         T.StructField(root, T.ArrayType(record, containsNull=False), nullable=False)
     ])
     rows = _checked(raw, holder).select(
-        "file_path", F.posexplode(f"record.{root}").alias("pos", "item")
+        "source_file", F.posexplode(f"record.{root}").alias("pos", "item")
     )
-    return rows.select("file_path", "pos", "item.*")
+    return rows.select("source_file", "pos", "item.*")
 
 
 def load_json_lines(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
     """Records written by ``save_json_lines``, with the same checks."""
-    raw = spark.read.text(path).select("value", "_metadata.file_path")
+    raw = spark.read.text(path).select("value", _source())
     return _checked(raw, record).select("record.*")
 
 
@@ -45,7 +49,13 @@ def save_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def save_json_documents(documents: DataFrame, path: str) -> None:
-    """One file per row: each row of the table is a whole document."""
+def save_json_documents(documents: DataFrame, path: str, tasks: int | None = None) -> None:
+    """One file per row, each row being a whole document such as ``{"problems": [...]}``.
+
+    The rows are spread over ``tasks`` writers, by default the parallelism of
+    the cluster.
+    """
+    writers = tasks or documents.sparkSession.sparkContext.defaultParallelism
     text = documents.select(F.to_json(F.struct(*documents.columns)).alias("value"))
-    text.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    spread = text.repartition(writers, "value")
+    spread.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

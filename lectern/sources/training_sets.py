@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-from lectern import schemas as S
-
-MESSAGES = T.ArrayType(S.MESSAGE, containsNull=False)
 
 
 def write_training_set(df: DataFrame, path: str) -> None:
+    """Nested columns such as ``messages`` are kept as they are."""
     df.write.mode("overwrite").parquet(path)
 
 

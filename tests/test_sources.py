@@ -1,0 +1,179 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lectern import schemas as S
+from lectern.session import fresh_path, path_exists
+from lectern.sources import corpus, csv_tables, json_records, training_sets
+from lectern.sources.batches import checkpointed_batches
+from lectern.sources.stages import is_complete, stage_once
+
+FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+# The CSV reader turns a lone carriage return into a line feed, as CSV readers may.
+TEXT = st.text(st.characters(codec="utf-8", exclude_characters="\r\0"), max_size=30)
+CSV_SCHEMA = S.optional(id=S._L, readme=S._S, n=S._L)
+
+
+def text_file(spark, path, text):
+    """Write one file with exactly these characters."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = fs.getFileSystem(spark._jsc.hadoopConfiguration()).create(fs, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def test_lenient_and_strict_csv(spark, folder):
+    text_file(spark, f"{folder}/bad.csv", 'id,readme,n\n1,"line1\nline ""q"" 2",5\n2,,x\n3,"",7\n')
+    lenient = csv_tables.read_csv_lenient(spark, f"{folder}/bad.csv", CSV_SCHEMA)
+    assert sorted(map(tuple, lenient.collect())) == [
+        (1, 'line1\nline "q" 2', 5), (2, None, None), (3, "", 7)]
+    strict = csv_tables.read_csv_strict(spark, f"{folder}/bad.csv", CSV_SCHEMA)
+    for use in (strict, strict.select("id"), strict.groupBy().count(), strict.where("id = 1")):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+            use.collect()
+    text_file(spark, f"{folder}/good.csv", 'id,readme,n\n1,"a\nb",5\n2,,6\n')
+    good = csv_tables.read_csv_strict(spark, f"{folder}/good.csv", CSV_SCHEMA)
+    assert good.count() == 2
+
+
+def test_csv_columns_go_by_name(spark, folder):
+    text_file(spark, f"{folder}/x.csv", "n,more,id,readme\n1,a,2,b\n")
+    for read in (csv_tables.read_csv_lenient, csv_tables.read_csv_strict):
+        assert [tuple(r) for r in read(spark, folder, CSV_SCHEMA).collect()] == [(2, "b", 1)]
+        with pytest.raises(ValueError, match="no column"):
+            read(spark, folder, S.CRATES)
+
+
+def test_csv_keeps_empty_and_null_apart(spark, folder):
+    rows = [("", None), (None, ""), ('q"uote', "new\nline"), (" padded ", "a,b"), ("back\\slash", "\\")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    csv_tables.write_csv(df, folder)
+    read = csv_tables.read_csv_strict(spark, folder, df.schema)
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(rows, key=str)
+
+
+@FEW
+@given(st.lists(st.tuples(st.one_of(st.none(), TEXT), TEXT), min_size=1, max_size=30))
+def test_csv_round_trip(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b string")
+    path = fresh_path(spark, "test")
+    csv_tables.write_csv(df, path)
+    read = csv_tables.read_csv_strict(spark, path, df.schema)
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(rows, key=str)
+
+
+@FEW
+@given(st.lists(st.tuples(TEXT, TEXT, TEXT), min_size=1, max_size=30))
+def test_json_round_trips(spark, rows):
+    df = spark.createDataFrame(rows, "question string, answer string, reasoning string")
+    lines, docs = fresh_path(spark, "test"), fresh_path(spark, "test")
+    json_records.save_json_lines(df, lines)
+    read = json_records.load_json_lines(spark, lines, S.QRA)
+    assert sorted(map(tuple, read.collect())) == sorted(rows)
+    json_records.save_json_documents(
+        df.agg(F.collect_list(F.struct(*df.columns)).alias("problems")), docs)
+    held = json_records.load_json_document(spark, docs, S.QRA)
+    assert [tuple(r)[2:] for r in held.orderBy("pos").collect()] == rows
+
+
+@pytest.mark.parametrize("document", [
+    '{"problems": [{"question": "q", "answer": "a"}]}',
+    '{"problems": [{"question": "q", "answer": "a", "reasoning": 1}]}',
+    '{"items": []}',
+    "nothing",
+])
+def test_json_document_must_match(spark, folder, document):
+    text_file(spark, f"{folder}/x.json", document)
+    loaded = json_records.load_json_document(spark, folder, S.QRA)
+    with pytest.raises(Exception, match="record of the wrong type"):
+        loaded.count()
+
+
+def test_json_lines_must_match(spark, folder):
+    text_file(spark, f"{folder}/x.json", '{"question": "q", "answer": "a"}\n{"question": "q"}\n')
+    with pytest.raises(Exception, match="record of the wrong type"):
+        json_records.load_json_lines(spark, folder, S.QA).count()
+
+
+def test_nested_topics_document(spark, folder):
+    text_file(spark, f"{folder}/topics.json",
+              '{"topics": [{"file_path": "a.md", "topic": {"title": "t", "description": "d"}}]}')
+    topics = json_records.load_json_document(spark, folder, S.TOPIC_ENTITY, root="topics")
+    row = topics.first()
+    assert (row.pos, row.topic.title) == (0, "t") and row.file_path == "a.md"
+
+
+def test_texts(spark, folder):
+    text_file(spark, f"{folder}/README.md", "# hi\nthere")
+    listed = spark.createDataFrame([("README.md",), ("gone.md",)], "name string")
+    stored = corpus.read_texts(spark, folder).withColumn(
+        "name", F.element_at(F.split("file_path", "/"), -1))
+    got = dict(map(tuple, corpus.texts_of(listed, stored, "name").select("name", "text").collect()))
+    assert got == {"README.md": "# hi\nthere", "gone.md": ""}
+
+
+def test_stage_is_built_once(spark, folder):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(5).withColumn("u", F.uuid())
+
+    first = stage_once(spark, folder, build)
+    again = stage_once(spark, folder, build)
+    assert built == [1]
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_half_written_stage_is_absent(spark, folder):
+    text_file(spark, f"{folder}/part-00000.parquet", "broken")
+    assert path_exists(spark, folder) and not is_complete(spark, folder)
+    assert stage_once(spark, folder, lambda: spark.range(3)).count() == 3
+
+
+def test_batches_resume(spark, folder):
+    df = spark.range(95).select(F.col("id").alias("k"))
+    calls = []
+
+    def process(batch, work):
+        calls.append(work)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return batch.withColumn("double", F.col("k") * 2).where("k <> 30")
+
+    with pytest.raises(RuntimeError):
+        checkpointed_batches(df, folder, ["k"], 30, process)
+    done = checkpointed_batches(df, folder, ["k"], 30, process)
+    assert len(calls) == 5
+    rows = sorted((r.k, r.double, r.batch_id) for r in done.collect())
+    assert rows == [(k, 2 * k, k // 30) for k in range(95) if k != 30]
+    again = checkpointed_batches(df, folder, ["k"], 30, process)
+    assert len(calls) == 5 and again.count() == 94
+
+
+def test_batches_of_nothing(spark, folder):
+    empty = spark.range(0).select(F.col("id").alias("k"))
+    assert checkpointed_batches(empty, folder, ["k"], 10).count() == 0
+
+
+def test_batch_without_rows_counts_as_done(spark, folder):
+    df = spark.range(20).select(F.col("id").alias("k"))
+    calls = []
+
+    def process(batch, work):
+        calls.append(work)
+        return batch.where("k >= 10")
+
+    for _ in range(2):
+        assert checkpointed_batches(df, folder, ["k"], 10, process).count() == 10
+    assert len(calls) == 2
+
+
+def test_training_set_keeps_messages(spark, folder):
+    from lectern.operators.records import as_conversational
+
+    df = spark.createDataFrame([("k", "Q", "A", "R")], "k string, question string, answer string, reasoning string")
+    chats = as_conversational(df, "k")
+    training_sets.write_training_set(chats, folder)
+    assert training_sets.read_training_set(spark, folder).collect() == chats.collect()
