@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lectern.operators.relational import join_per_key
+
 # Fixed value: what a message without text is rendered as.
 EMPTY_MARKER = "[no text content]"
 
@@ -40,4 +42,4 @@ def until_stuck(
     """The events that took place: all up to and including the one that got stuck."""
     stuck = stuck_conversations(events, limit, is_empty)
     kept = F.col("stuck_turn").isNull() | (F.col("turn") <= F.col("stuck_turn"))
-    return events.join(stuck, "conv_id", "left").where(kept).drop("stuck_turn")
+    return join_per_key(events, stuck, "conv_id", "left").where(kept).drop("stuck_turn")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.scalars import generation_status
 from lectern.functions.structured import fail_unless
+from lectern.operators.relational import join_per_key
 
 RESPONSE_COLUMNS = ("response", "attempts", "error", "error_kind")
 _RESULT = "response string, attempts int, error string, error_kind string"
@@ -145,7 +146,7 @@ def apply_error_policy(df: DataFrame, policy: str, group: str | None = None) ->
         if group is None:
             raise ValueError("drop_group needs the group column")
         broken = df.where(F.col("error_kind") == "other").select(group).distinct()
-        return df.where(good).join(broken, group, "left_anti")
+        return join_per_key(df.where(good), broken, group, "left_anti")
     if policy == "status_row":
         return df.withColumn("status", generation_status("error"))
     if policy == "fail":

@@ -49,6 +49,25 @@ def lookup_by_id(
 
 # -- joins -------------------------------------------------------------------
 
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner"
+) -> DataFrame:
+    """Join rows that may have hot keys with an aggregate that has one row per key.
+
+    Adaptive execution splits a skewed key only where both sides of the join
+    come straight from a shuffle.  An aggregate by the join key is already
+    partitioned right and would be joined as it is, so its key is passed on as
+    ``min(key)``, which Spark does not know to be the same: the small side gets
+    a shuffle of its own, and a key with very many rows can be split.
+    """
+    linked = "__linked_key"
+    values = [c for c in per_key.columns if c != key]
+    relinked = per_key.groupBy(key).agg(
+        F.min(key).alias(linked), *[F.first(c).alias(c) for c in values]
+    ).drop(key)
+    return rows.join(relinked, F.col(key) == F.col(linked), how).drop(linked)
+
+
 def edges_with_owner(dependencies: DataFrame, versions: DataFrame) -> DataFrame:
     """Dependency edges with the package that owns the depending version."""
     owner = project(versions, version_id="id", dependant_id="crate_id")
@@ -73,7 +92,7 @@ def without_listed(df: DataFrame, key: str, listed: DataFrame, listed_key: str)
     An anti join: unlike SQL ``NOT IN``, a null in the list changes nothing.
     """
     ids = listed.select(F.col(listed_key).alias(key)).distinct()
-    return df.where(F.col(key).isNotNull()).join(ids, key, "left_anti")
+    return join_per_key(df.where(F.col(key).isNotNull()), ids, key, "left_anti")
 
 
 def with_metrics(packages: DataFrame, downloads: DataFrame, dependants: DataFrame) -> DataFrame:

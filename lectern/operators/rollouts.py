@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.structured import fail_unless
+from lectern.operators.relational import join_per_key
 
 # Rollouts per task and length limits of the trainers.
 ROLLOUTS_PER_TASK = 4
@@ -42,7 +43,8 @@ def group_advantage(rewards: DataFrame, key: str) -> DataFrame:
     advantage = F.when(spread == 0, F.lit(0.0)).otherwise(
         (F.col("reward") - F.col("__mean")) / spread
     )
-    return rewards.join(stats, key).withColumn("advantage", advantage).drop("__mean", "__std")
+    scored = join_per_key(rewards, stats, key)
+    return scored.withColumn("advantage", advantage).drop("__mean", "__std")
 
 
 def word_count(text: Column) -> Column:

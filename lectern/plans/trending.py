@@ -78,8 +78,8 @@ def trending_packages(
     """
     packages = with_parsed_dates(crates)
     new_repositories = R.since(R.first_seen(packages), "repo_start_date", cutoff)
-    new_packages = packages.select("id", "repository").join(
-        new_repositories.select("repository"), "repository"
+    new_packages = R.join_per_key(
+        packages.select("id", "repository"), new_repositories.select("repository"), "repository"
     )
 
     # The new packages keep their column names here, so that this join and the one

@@ -102,7 +102,9 @@ def csv_strict_scan(spark, d):
 @query("select qa_key, question, answer, reasoning from qra")
 def json_records_load(spark, d):
     path = fresh_path(spark, "json")
-    documents = view(spark, d, "qra").groupBy("file_path").agg(
+    # A document holds the records of at most 50 topics, so no group grows with the data.
+    part = F.floor(F.col("topic_pos") / 50).alias("part")
+    documents = view(spark, d, "qra").groupBy("file_path", part).agg(
         F.collect_list(F.struct(*KEYED_QRA.names)).alias("problems")
     )
     json_records.save_json_documents(documents.select("problems"), path)
@@ -361,7 +363,7 @@ select c.id, c.repository, strftime(f.repo_start_date, '%Y-%m-%d %H:%M:%S') as r
 from crates c join first_seen f on f.repository = c.repository""")
 def join_inner(spark, d):
     rows = packages(spark, d)
-    return rows.join(R.first_seen(rows), "repository").select(
+    return R.join_per_key(rows, R.first_seen(rows), "repository").select(
         "id", "repository", F.date_format("repo_start_date", CLOCK).alias("repo_start_date")
     )
 
