@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Variant type names that count as a match for each declared leaf type.
-_MATCHES = {
-    T.StringType: r"^STRING$",
-    T.BooleanType: r"^BOOLEAN$",
-    T.LongType: r"^BIGINT$",
-    T.DoubleType: r"^(DOUBLE|FLOAT|BIGINT|DECIMAL.*)$",
-}
+# The variant type a JSON value must have for each declared leaf type.  A double
+# may be written as a whole or a decimal number.
+_VARIANT_TYPES = {T.StringType: "STRING", T.BooleanType: "BOOLEAN", T.LongType: "BIGINT"}
+_NUMBER = r"^(DOUBLE|FLOAT|BIGINT|DECIMAL.*)$"
 
 
 def _loose(kind: T.DataType) -> T.DataType:
@@ -23,7 +20,7 @@ def _loose(kind: T.DataType) -> T.DataType:
         return T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in kind.fields])
     if isinstance(kind, T.ArrayType):
         return T.ArrayType(_loose(kind.elementType))
-    if type(kind) not in _MATCHES:
+    if type(kind) not in (*_VARIANT_TYPES, T.DoubleType):
         raise TypeError(f"records may not hold {kind.simpleString()}")
     return T.VariantType()
 
@@ -40,7 +37,10 @@ def _matches(value: Column, kind: T.DataType, nullable: bool) -> Column:
         )
         return value.isNull() | good if nullable else good
     found = F.schema_of_variant(value)
-    good = F.coalesce(found.rlike(_MATCHES[type(kind)]), F.lit(False))
+    fits = found.rlike(_NUMBER) if isinstance(kind, T.DoubleType) else (
+        found == _VARIANT_TYPES[type(kind)]
+    )
+    good = F.coalesce(fits, F.lit(False))
     return good | F.coalesce(found == "VOID", F.lit(True)) if nullable else good
 
 
