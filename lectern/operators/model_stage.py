@@ -45,7 +45,10 @@ class CallableModel:
 
 @dataclass(frozen=True)
 class RecordedModel:
-    """Answers known before: a table of ``prompt_hash`` (sha-256 hex) and ``response``."""
+    """Answers known before: a table of ``prompt_hash`` (sha-256 hex) and ``response``.
+
+    Of several answers to one prompt the first in text order is taken.
+    """
 
     responses: DataFrame
 
@@ -116,8 +119,10 @@ def run_model(
     """
     if isinstance(model, RecordedModel):
         hashed = df.withColumn("prompt_hash", F.sha2(prompt, 256))
-        answers = model.responses.select("prompt_hash", "response", F.lit(True).alias("__known"))
-        joined = hashed.join(answers, "prompt_hash", "left")
+        answers = model.responses.groupBy("prompt_hash").agg(
+            F.min("response").alias("response"), F.lit(True).alias("__known")
+        )
+        joined = join_per_key(hashed, answers, "prompt_hash", "left")
         missing = F.col("__known").isNull()
         return joined.select(
             *df.columns,

@@ -100,7 +100,7 @@ def test_result_does_not_depend_on_partitions(spark, concurrency, batch_size, th
 
 
 def test_recorded_answers(spark):
-    known = spark.createDataFrame([("a", "A"), ("b", None)], "p string, response string").select(
+    known = spark.createDataFrame([("a", "B"), ("a", "A"), ("b", None)], "p string, response string").select(
         F.sha2("p", 256).alias("prompt_hash"), "response")
     got = asked(spark, ["a", "b", "c"], RecordedModel(known))
     assert got == {"a": ("A", 1, None, None), "b": (None, 1, None, None),
