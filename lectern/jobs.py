@@ -21,6 +21,7 @@ from lectern.operators.metrics import accuracy_text
 from lectern.operators.positions import with_position
 from lectern.operators.records import as_prompt_completion, solve_results
 from lectern.plans import evaluation, synthesis, training, trending
+from lectern.plans import exam_set as exam_plan
 from lectern.session import apply_runtime_settings
 from lectern.sources import corpus, csv_tables, json_records, training_sets
 from lectern.sources.stages import stage_once
@@ -74,6 +75,28 @@ def synthesise(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return made
 
 
+def load_topics(spark: SparkSession, path: str) -> DataFrame:
+    """Topics of a document ``{"topics": [{"file_path": ..., "topic": {...}}]}``."""
+    rows = json_records.load_json_document(spark, path, S.TOPIC_ENTITY, root="topics")
+    place = F.col("pos").cast("string")
+    return rows.select(
+        F.col("source_file").alias("file_pos"), F.col("pos").alias("topic_pos"), "file_path",
+        F.concat_ws(":", "file_path", place).alias("topic_key"), "topic.title", "topic.description",
+    )
+
+
+def build_exams(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Outcomes are a Parquet table by ``topic_key``, as ``exam_set`` describes it."""
+    made = exam_plan.exam_set(
+        load_topics(spark, args.topics), spark.read.parquet(args.outcomes),
+        load_model(spark, args.model)["judge_topics"], F.lit(args.image), args.work,
+        args.max_topics, args.concurrency,
+    )
+    exams = stage_once(spark, f"{args.work}/exams", lambda: made)
+    csv_tables.write_csv(exams.select(*S.EXAM_ROW.names), args.out)
+    return exams.groupBy("status").count()
+
+
 def evaluate(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     model = load_model(spark, args.model)
     judged = evaluation.evaluate_records(
@@ -147,6 +170,8 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--form", choices=["conversations", "completions"], default="conversations")
     train.add_argument("--max-length", type=int, default=training.MAX_TRAINING_LENGTH)
     train.add_argument("--on-exceed", choices=["drop", "error"], default="drop")
+    examine = command("exam-set", build_exams, "topics", "outcomes", "image", model=True)
+    examine.add_argument("--max-topics", type=int, default=exam_plan.MAX_TOPICS)
     roll = command("rollouts", build_rollouts, "exams", "outcomes", "image", "project-dir", "library-dir")
     roll.add_argument("--attempts", type=int, default=training.ROLLOUTS_PER_TASK)
     return top

@@ -114,8 +114,9 @@ def run_model(
     ``error_kind`` is ``exhausted`` (a retryable failure on every attempt),
     ``other`` (any other failure, not tried again) or ``missing`` (no recorded
     answer).  Rows are spread by ``key`` so that calls run on all task slots
-    however the input files are cut; ``concurrency`` sets the number of
-    partitions and with it the most calls in flight.
+    however the input files are cut.  ``concurrency`` sets the number of
+    partitions: no more than that many tasks, each with the model's ``threads``,
+    have a call in flight.
     """
     if isinstance(model, RecordedModel):
         hashed = df.withColumn("prompt_hash", F.sha2(prompt, 256))

@@ -20,6 +20,7 @@ class SynthesisModels:
     judge_topics: C.Model
     generate_qa: C.Model
     hindsight_reasoning: C.Model
+    dispatch: C.Model | None = None
 
 
 @dataclass(frozen=True)
@@ -54,14 +55,23 @@ def records_of_topics(
 ) -> DataFrame:
     """Useful topics to finished records.
 
-    A topic whose usefulness call failed is dropped.  A topic whose question
+    A topic whose usefulness or dispatch call failed is dropped, and so is one
+    dispatched to another kind than ``qa``; without a dispatch model all topics
+    are ``qa``.  A topic whose question
     call gave up yields nothing, a pair whose reasoning call gave up is dropped
     alone, and any other failure in a topic drops the whole topic.
     """
     judged = C.judge_topics(topics, models.judge_topics, f"{work}/judged", concurrency=concurrency)
     useful = C.drop_audit(apply_error_policy(judged, "drop_row")).where("is_useful")
+    typed = useful.drop("is_useful", "reason")
+    if models.dispatch is not None:
+        sent = C.dispatch_problem_type(
+            typed, models.dispatch, f"{work}/types", concurrency=concurrency
+        )
+        chosen = apply_error_policy(sent, "drop_row").where(F.col("problem_type") == "qa")
+        typed = C.drop_audit(chosen).drop("problem_type")
     generated = C.generate_qa(
-        useful.drop("is_useful", "reason"), models.generate_qa, f"{work}/qa",
+        typed, models.generate_qa, f"{work}/qa",
         concurrency=concurrency,
     )
     pairs = C.qa_rows(apply_error_policy(generated, "drop_row"))

@@ -3,6 +3,7 @@
 import json
 
 from lectern import jobs
+from lectern import schemas as S
 from lectern.sources import csv_tables
 from standins import models as M
 from standins.views import view
@@ -80,3 +81,19 @@ def test_rollouts(spark, small, folder):
                       "--image", "base", "--project-dir", "/srv/p", "--library-dir", "/srv/l",
                       "--out", f"{folder}/out"], spark)
     assert made.count() == outcomes.count() and "advantage" in made.columns
+
+
+def test_exam_set(spark, small, folder):
+    topics = [{"file_path": "a.md", "topic": {"title": f"t{i}", "description": "d"}} for i in range(9)]
+    text_file(spark, f"{folder}/topics.json", json.dumps({"topics": topics}))
+    outcomes = spark.createDataFrame(
+        [(f"a.md:{i}", "q", 0, "s", "p", "stuck" if i == 0 else None) for i in range(9)],
+        "topic_key string, question string, exit_code int, solution_commit string, "
+        "problem_commit string, error string")
+    outcomes.write.parquet(f"{folder}/outcomes")
+    counts = jobs.main(["exam-set", "--topics", f"{folder}/topics.json", "--outcomes",
+                        f"{folder}/outcomes", "--image", "base", "--model", "test_jobs:steps",
+                        "--work", f"{folder}/work", "--out", f"{folder}/out"], spark)
+    useful = [i for i in range(9) if M.digits("useful:", f"a.md:{i}")[0] < "c"]
+    assert sum(r["count"] for r in counts.collect()) == len(useful)
+    assert csv_tables.read_csv_strict(spark, f"{folder}/out", S.EXAM_ROW).count() == len(useful)

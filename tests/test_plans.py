@@ -1,4 +1,5 @@
 import sys
+from dataclasses import replace
 
 import pytest
 from pyspark import cloudpickle
@@ -10,7 +11,7 @@ from lectern.plans import evaluation, exam_set, synthesis, training, trending
 from lectern.session import fresh_path
 from lectern.sources import csv_tables
 from standins import models as M
-from standins.queries import QUERIES, synthesis_models
+from standins.queries import synthesis_models
 from standins.views import view
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -100,6 +101,14 @@ def test_synthesis_takes_topics_in_input_order(spark, small, folder):
     assert keys(made) == keys(wanted) and made.count() > 0
 
 
+def test_synthesis_leaves_out_topics_dispatched_elsewhere(spark, small, folder):
+    models = replace(synthesis_models(), dispatch=M.model(M.ProblemType))
+    made = synthesis.qra_records(view(spark, small, "docs"), models, folder, max_topics=None)
+    wanted = view(spark, small, "qra").where(
+        "substr(md5(concat('type:', topic_key)), 1, 1) >= '8'")
+    assert keys(made) == keys(wanted) and made.count() > 0
+
+
 def test_synthesis_in_batches(spark, small, folder):
     docs = view(spark, small, "docs")
     made = synthesis.qra_records(docs, synthesis_models(), folder, max_topics=100, batch_size=40)
@@ -223,7 +232,3 @@ def test_texts_are_shuffled_once(spark, small, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert plan.count("Exchange") == 2
-
-
-def test_all_queries_are_named_in_the_inventory():
-    assert len(QUERIES) >= 78
