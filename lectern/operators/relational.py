@@ -56,14 +56,13 @@ def join_per_key(
 
     Adaptive execution splits a skewed key only where both sides of the join
     come straight from a shuffle.  An aggregate by the join key is already
-    partitioned right and would be joined as it is, so its key is passed on as
-    ``min(key)``, which Spark does not know to be the same: the small side gets
-    a shuffle of its own, and a key with very many rows can be split.
+    partitioned right and would be joined as it is.  Its key is passed on as an
+    expression that Spark does not take for the same column, so the small side
+    gets a shuffle of its own, and a key with very many rows can be split.
     """
     linked = "__linked_key"
-    values = [c for c in per_key.columns if c != key]
-    relinked = per_key.groupBy(key).agg(
-        F.min(key).alias(linked), *[F.first(c).alias(c) for c in values]
+    relinked = per_key.withColumn(
+        linked, F.when(F.col(key).isNotNull(), F.col(key))
     ).drop(key)
     return rows.join(relinked, F.col(key) == F.col(linked), how).drop(linked)
 
