@@ -38,17 +38,18 @@ def load_model(spark: SparkSession, spec: str) -> Mapping:
 def load_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """Records with a ``qa_key``: our own lines, or documents ``{"problems": [...]}``.
 
-    A record of a document is named by its file and place in it.
+    A record of a document is named by its file and place in it, padded so that
+    the order of the names is that of the records.
     """
     if layout == "lines":
         return json_records.load_json_lines(spark, path, KEYED_QRA)
     rows = json_records.load_json_document(spark, path, S.QRA)
-    key = F.concat_ws("#", "source_file", F.col("pos").cast("string"))
+    key = F.concat_ws("#", "source_file", F.lpad(F.col("pos").cast("string"), 9, "0"))
     return rows.withColumn("qa_key", key).select(*KEYED_QRA.names)
 
 
 def rank_packages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    tables = trending.load_registry(spark, args.dump, args.work)
+    tables = trending.load_registry(spark, args.dump, args.work, args.splittable)
     best = trending.trending_packages(
         tables["crates"], tables["crate_downloads"], tables["dependencies"], tables["versions"],
         cutoff=args.cutoff, top=args.top,
@@ -159,6 +160,7 @@ def parser() -> argparse.ArgumentParser:
 
     rank = command("rank-packages", rank_packages, "dump", "work")
     rank.add_argument("--cutoff", default=trending.CUTOFF)
+    rank.add_argument("--splittable", nargs="*", default=[])
     rank.add_argument("--top", type=int, default=trending.TOP)
     make = command("synthesise", synthesise, "documents", model=True)
     make.add_argument("--max-topics", type=int, default=1000)

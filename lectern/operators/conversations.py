@@ -24,7 +24,8 @@ def stuck_conversations(
 
     Only empty messages are kept, and of those the first ``limit + 1`` of a
     conversation.  Spark applies that rank limit in each task before the shuffle
-    and again after it, so a conversation of any length sends a few rows.
+    and again after it, so a conversation of any length sends a few rows (up to
+    the limit set by ``spark.sql.optimizer.windowGroupLimitThreshold``).
     """
     empty = is_empty_message() if is_empty is None else is_empty
     in_order = W.partitionBy("conv_id").orderBy("turn")

@@ -81,11 +81,11 @@ Question: {question}
 Record: {key}"""
 
 JUDGE_ANSWER = """\
-Decide whether the candidate says the same as the reference answer.
+Decide whether the candidate answer says the same as the known one.
 Answer as JSON: {{"reason": string, "is_correct": boolean}}
 Question: {question}
-Ground Truth Answer: {answer}
-Candidate's Answer: {agent_answer}
+Known answer: {answer}
+Candidate answer: {agent_answer}
 Record: {key}"""
 
 VERIFY_RECORD = """\

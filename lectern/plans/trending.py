@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +26,14 @@ RESULT_COLUMNS = (
 )
 
 
-def load_registry(spark: SparkSession, folder: str, work: str) -> dict[str, DataFrame]:
+def load_registry(
+    spark: SparkSession, folder: str, work: str, splittable: Collection[str] = ()
+) -> dict[str, DataFrame]:
     """The four CSV tables of a registry dump, turned into Parquet once.
 
-    Downloads are read strictly; writing the table checks all of it.
+    Downloads are read strictly; writing the table checks all of it.  Name under
+    ``splittable`` the tables that are known to hold no line break inside a
+    value: many tasks then read one file.
     """
     readers = {
         "crates": (read_csv_lenient, S.CRATES),
@@ -38,7 +44,9 @@ def load_registry(spark: SparkSession, folder: str, work: str) -> dict[str, Data
     return {
         name: stage_once(
             spark, f"{work}/{name}",
-            lambda read=read, schema=schema, name=name: read(spark, f"{folder}/{name}.csv", schema),
+            lambda read=read, schema=schema, name=name: read(
+                spark, f"{folder}/{name}.csv", schema, multi_line=name not in splittable
+            ),
         )
         for name, (read, schema) in readers.items()
     }

@@ -78,10 +78,11 @@ FIRST_SEEN = """first_seen as (
 # -- sources and sinks -------------------------------------------------------
 
 @query("""
-select case when id % 11 = 3 then null else id end as id, name, length(readme) as readme_chars
+select case when documentation is null then null else id end as id, name,
+       length(readme) as readme_chars
 from crates""")
 def csv_lenient_scan(spark, d):
-    broken = F.when(F.col("id") % 11 == 3, F.concat(F.lit("x"), F.col("id")))
+    broken = F.when(F.col("documentation").isNull(), F.concat(F.lit("x"), F.col("id")))
     path = fresh_path(spark, "csv")
     dates = F.date_format("created_at", CLOCK)
     rows = view(spark, d, "crates").withColumns({

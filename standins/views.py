@@ -22,10 +22,10 @@ VIEWS: dict[str, str | dict[str, str]] = {
     "crates": """
 select c.c_custkey as id,
        c.c_name as name,
-       case when c.c_custkey % 50 = 7 then null
-            else concat('https://git.example/', cast(c.c_custkey - c.c_custkey % 3 as varchar(20)))
+       case when c.c_nationkey <> 3
+            then concat('https://git.example/', cast(cast(floor(c.c_custkey / 3.0) as bigint) as varchar(20)))
             end as repository,
-       case when c.c_custkey % 97 = 5 then null else o.first_order end as created_at,
+       case when c.c_nationkey <> 11 then o.first_order end as created_at,
        split_part(d.text, '.', 1) as description,
        d.text as readme,
        case when c.c_acctbal >= 0 then c.c_mktsegment end as documentation,
@@ -34,7 +34,7 @@ from customer c
 left join (select o_custkey, min(o_orderdate) as first_order from orders group by o_custkey) o
        on o.o_custkey = c.c_custkey
 left join documents d on d.doc_id = c.c_custkey
-left join pages p on p.page_id = cast((c.c_custkey - c.c_custkey % 6) / 6 as bigint)""",
+left join pages p on p.page_id = cast(floor(c.c_custkey / 6.0) as bigint)""",
     "crate_downloads": """
 select o_custkey as crate_id, count(*) as downloads
 from orders where o_orderstatus = 'F' group by o_custkey""",

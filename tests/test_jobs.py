@@ -69,7 +69,8 @@ def test_records_of_a_single_document(spark, folder):
     problems = [{"question": "q", "answer": "a", "reasoning": "r"}] * 2
     text_file(spark, f"{folder}/problems.json", json.dumps({"problems": problems}))
     rows = jobs.load_records(spark, f"{folder}/problems.json", "documents").collect()
-    assert sorted(r.qa_key[-15:] for r in rows) == ["problems.json#0", "problems.json#1"]
+    names = [r.qa_key.rsplit("/", 1)[1] for r in rows]
+    assert sorted(names) == ["problems.json#000000000", "problems.json#000000001"]
 
 
 def test_rollouts(spark, small, folder):

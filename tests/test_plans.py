@@ -50,14 +50,15 @@ def test_trending_plan(spark, small, folder):
     assert len(readers) == 1, "the readme is read by one scan and goes into no shuffle"
 
 
-def test_trending_from_csv_dump(spark, small, folder):
+@pytest.mark.parametrize("splittable", [(), ("crate_downloads", "dependencies", "versions")])
+def test_trending_from_csv_dump(spark, small, folder, splittable):
     names = ("crates", "crate_downloads", "dependencies", "versions")
     for name, df in zip(names, registry(spark, small)):
         if name == "crates":
             shown = F.concat(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"), F.lit("+00"))
             df = df.withColumn("created_at", shown)
         csv_tables.write_csv(df, f"{folder}/dump/{name}.csv")
-    tables = trending.load_registry(spark, f"{folder}/dump", f"{folder}/tables")
+    tables = trending.load_registry(spark, f"{folder}/dump", f"{folder}/tables", splittable)
     order = [tables[n] for n in names]
     got = trending.trending_packages(*order, cutoff="1995-03-01T00:00:00Z")
     direct = trending.trending_packages(*registry(spark, small), cutoff="1995-03-01T00:00:00Z")
