@@ -66,7 +66,10 @@ def synthesise(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             "hindsight_reasoning",
         )
     ]
-    texts = corpus.read_texts(spark, args.documents)
+    # One pass over the small files; later steps read only the columns they need.
+    texts = stage_once(
+        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents)
+    )
     order = with_position(texts.select("file_path"), ["file_path"], f"{args.work}/files", "file_pos")
     made = synthesis.qra_records(
         texts.join(order, "file_path"), synthesis.SynthesisModels(*steps), args.work,
