@@ -33,18 +33,19 @@ def rollout_rewards(
 def group_advantage(rewards: DataFrame, key: str) -> DataFrame:
     """Add ``advantage``: reward minus the task mean, over the task's sample deviation.
 
-    Equal rewards, or a single attempt, give 0.  The statistics are aggregated
+    Equal rewards, or a single attempt, give exactly 0.  The statistics are aggregated
     and joined back; a window would pull all attempts of a task into one task.
     """
     stats = rewards.groupBy(key).agg(
-        F.avg("reward").alias("__mean"), F.stddev_samp("reward").alias("__std")
+        F.avg("reward").alias("__mean"),
+        F.stddev_samp("reward").alias("__std"),
+        (F.min("reward") == F.max("reward")).alias("__equal"),
     )
-    spread = F.coalesce(F.col("__std"), F.lit(0.0))
-    advantage = F.when(spread == 0, F.lit(0.0)).otherwise(
-        (F.col("reward") - F.col("__mean")) / spread
+    advantage = F.when(F.col("__equal") | (F.col("__std") == 0), F.lit(0.0)).otherwise(
+        (F.col("reward") - F.col("__mean")) / F.col("__std")
     )
     scored = join_per_key(rewards, stats, key)
-    return scored.withColumn("advantage", advantage).drop("__mean", "__std")
+    return scored.withColumn("advantage", advantage).drop("__mean", "__std", "__equal")
 
 
 def word_count(text: Column) -> Column:

@@ -1,0 +1,127 @@
+"""Random inputs against straightforward Python."""
+
+import datetime as dt
+import random
+import statistics
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lectern.functions.timestamps import parse_iso_timestamp
+from lectern.operators import conversations, rollouts
+from lectern.plans import trending
+
+FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+moments = st.datetimes(dt.datetime(1900, 1, 1), dt.datetime(2100, 1, 1))
+offsets = st.sampled_from(["", "Z", "+00", "-07", "+0530", "-03:30"])
+layouts = st.sampled_from(["%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f"])
+
+
+@FEW
+@given(st.lists(st.tuples(moments, layouts, offsets), min_size=1, max_size=40))
+def test_timestamps_agree_with_the_standard_library(spark, drawn):
+    written = [m.strftime(layout) + ("" if layout == "%Y-%m-%d" else zone) for m, layout, zone in drawn]
+    wanted = []
+    for value in written:
+        moment = dt.datetime.fromisoformat(value)
+        if moment.tzinfo is None:
+            moment = moment.replace(tzinfo=dt.timezone.utc)
+        wanted.append((moment - EPOCH) // dt.timedelta(microseconds=1))
+    df = spark.createDataFrame([(v,) for v in written], "x string")
+    got = [r[0] for r in df.select(F.unix_micros(parse_iso_timestamp("x"))).collect()]
+    assert got == wanted
+
+
+def ranking_in_python(crates, downloads, dependencies, versions, cutoff, top):
+    first = {}
+    for c in crates:
+        if c["repository"] is not None and c["created_at"] is not None:
+            first[c["repository"]] = min(first.get(c["repository"], c["created_at"]), c["created_at"])
+    repo = {c["id"]: c["repository"] for c in crates if c["id"] is not None}
+    users, internal = {}, set()
+    for version, target in dependencies:
+        if version in versions and target is not None:
+            dependant = versions[version]
+            users.setdefault(target, set()).add(dependant)
+            if repo.get(target) is not None and dependant is not None:
+                if repo[target] == repo.get(dependant):
+                    internal.add(target)
+    rows = []
+    for c in crates:
+        new = c["repository"] in first and first[c["repository"]] >= cutoff
+        good = all(c[k] is not None for k in ("id", "description", "documentation", "homepage", "readme"))
+        if new and good and len(c["description"]) > 10 and len(c["readme"]) > 100:
+            if c["id"] not in internal:
+                rows.append((-len(users.get(c["id"], ())), c["id"], c["name"], downloads.get(c["id"], 0)))
+    return [(name, -n, loads) for n, _, name, loads in sorted(rows)[:top]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ranking_of_random_registries(spark, seed):
+    rng = random.Random(seed)
+
+    def maybe(value, share=0.1):
+        return None if rng.random() < share else value
+
+    crates = [{
+        "id": maybe(i, 0.03), "name": f"p{i}",
+        "created_at": maybe(dt.datetime(2024, rng.randint(1, 12), 1)),
+        "repository": maybe(f"r{rng.randint(0, 30)}"),
+        "description": maybe("é" * rng.randint(8, 14)), "documentation": maybe("d"),
+        "homepage": maybe("h"), "readme": maybe("x" * rng.choice([50, 100, 101, 200]), 0.05),
+    } for i in range(80)]
+    downloads = {i: rng.randint(1, 99) for i in range(0, 80, 2)}
+    versions = {1000 + i: maybe(rng.randint(0, 85), 0.05) for i in range(150)}
+    dependencies = [
+        (maybe(rng.randint(1000, 1160), 0.02), maybe(min(rng.randint(0, 90), rng.randint(0, 90)), 0.02))
+        for _ in range(600)
+    ]
+    cutoff = dt.datetime(2024, 3, 1)
+    fields = ("id", "name", "created_at", "repository", "description", "documentation", "homepage", "readme")
+    tables = [
+        spark.createDataFrame(
+            [tuple(c[f] for f in fields) for c in crates],
+            "id long, name string, created_at timestamp, repository string, description string, "
+            "documentation string, homepage string, readme string"),
+        spark.createDataFrame(list(downloads.items()), "crate_id long, downloads long"),
+        spark.createDataFrame(dependencies, "version_id long, crate_id long"),
+        spark.createDataFrame(list(versions.items()), "id long, crate_id long"),
+    ]
+    best = trending.trending_packages(*tables, cutoff="2024-03-01T00:00:00Z", top=15)
+    got = [(r.name, r.direct_dependant_count, r.downloads) for r in best.collect()]
+    wanted = ranking_in_python(crates, downloads, dependencies, versions, cutoff, 15)
+    assert got == wanted and got
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3])
+def test_stuck_turns_of_random_conversations(spark, limit):
+    rng = random.Random(limit)
+    events = [(c, t, rng.random() < 0.3) for c in range(30) for t in range(rng.randint(1, 12))]
+    wanted = {}
+    for c, t, empty in events:
+        wanted.setdefault(c, []).extend([t] if empty else [])
+    wanted = {c: ts[limit] for c, ts in wanted.items() if len(ts) > limit}
+    rng.shuffle(events)
+    df = spark.createDataFrame(events, "conv_id int, turn int, empty boolean")
+    got = conversations.stuck_conversations(df, limit, F.col("empty"))
+    assert dict(map(tuple, got.collect())) == wanted
+
+
+@FEW
+@given(st.lists(st.tuples(st.integers(0, 4), st.floats(0, 1)), min_size=1, max_size=40))
+def test_advantages(spark, drawn):
+    df = spark.createDataFrame([(k, r, i) for i, (k, r) in enumerate(drawn)], "k int, reward double, i int")
+    groups = {}
+    for k, r in drawn:
+        groups.setdefault(k, []).append(r)
+    for row in rollouts.group_advantage(df, "k").collect():
+        rewards = groups[row.k]
+        spread = statistics.stdev(rewards) if len(rewards) > 1 else 0.0
+        if max(rewards) == min(rewards):
+            assert row.advantage == 0
+        elif spread > 1e-9:
+            assert abs(row.advantage - (row.reward - statistics.mean(rewards)) / spread) < 1e-4
