@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.jaccard_join import jaccard_components
+from lectern.llm.suffix_dedup import without_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +19,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = without_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return spans.select(
+        F.col("row_id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}

@@ -47,3 +47,23 @@ def jaccard_components(rows):
 
 
 WORD10 = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def without_repeats(rows, length=50):
+    """{id: (bytes, removed, spans, kept)}; ids are unique."""
+    first = {}
+    texts = {i: (t or "").encode() for i, t in rows}
+    for i, text in texts.items():
+        for at in range(len(text) - length + 1):
+            run = text[at:at + length]
+            if first.get(run, i) >= i:
+                first[run] = i
+    out = {}
+    for i, text in texts.items():
+        gone = bytearray(len(text))
+        for at in range(len(text) - length + 1):
+            if first[text[at:at + length]] < i:
+                gone[at:at + length] = b"\1" * length
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(text), sum(gone), spans, bytes(b for b, g in zip(text, gone) if not g))
+    return out
