@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.suffix_dedup import without_repeats
+from lectern.llm.token_counts import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +28,17 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(_table(spark, sf_dir, "documents"), model).withColumnRenamed("row_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_token_counts": op6_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
