@@ -48,6 +48,8 @@ LARGEST_LIGHT = 20
 PIVOT_ROUNDS = 2
 
 SIGNED = pa.schema([("row_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
+SETS = pa.schema([("set_id", pa.int64()), ("n", pa.int32()), ("own", pa.int32()), ("listed", pa.int32()),
+                  ("weight", pa.float64()), ("scan", pa.float64()), ("subsets", pa.float64()), ("keys", pa.list_(pa.int64()))])
 SETS_DDL = ("set_id long, n int, own int, listed int, weight double, scan double, subsets double, "
             "keys array<long>")
 
@@ -91,35 +93,37 @@ def linkable_sets(docs: DataFrame, text_col: str) -> DataFrame:
     ``own`` counts the shingles no other set has; ``listed`` how many of the
     shared ones belong to the prefix.  A set with too many own shingles is out.
     """
+    ids = WordIds()
+
     def keys_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-        ids = WordIds()
         for text in byte_texts(batch.column(0)):
             found = shingles(ids.of((text or b"").lower().split()), SHINGLE)
             if len(found):
                 yield _set_id(found), len(found), np.unique(found & KEY_MASK)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {k: [] for k in ("set_id", "n", "own", "listed", "weight", "scan", "subsets", "keys")}
-            for owner, n, keys, ranks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = n - len(keys)
-                listed = n - least_overlap(n) + 1 - own
-                if listed <= 0:
-                    continue
-                rank = np.frombuffer(ranks, np.uint8).astype(float)
-                subsets = float("inf")
-                if n <= LARGEST_LIGHT:
-                    subsets = float(sum(comb(len(keys), overlap_needed(m, n)) for m in partner_sizes(n)))
-                for name, value in zip(rows, (owner, n, own, listed, rank.sum() / n,
-                                              float(np.exp2(rank[:listed] / 16).sum()), subsets, keys), strict=True):
-                    rows[name].append(value)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows["set_id"], pa.int64()), pa.array(rows["n"], pa.int32()), pa.array(rows["own"], pa.int32()),
-                pa.array(rows["listed"], pa.int32()), pa.array(rows["weight"], pa.float64()),
-                pa.array(rows["scan"], pa.float64()), pa.array(rows["subsets"], pa.float64()),
-                pa.array(rows["keys"], pa.list_(pa.int64()))], names=list(rows))
-
-    return shared_postings(docs.select(F.col(text_col).cast("string").alias("text")), keys_of).mapInArrow(judge, SETS_DDL)
+    def judge(owners: Iterator[tuple[int, int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for owner, n, keys, ranks in owners:
+            own = n - len(keys)
+            listed = n - least_overlap(n) + 1 - own
+            if listed <= 0:
+                continue
+            subsets = float("inf")
+            if n <= LARGEST_LIGHT:
+                subsets = float(sum(comb(len(keys), overlap_needed(m, n)) for m in partner_sizes(n)))
+            scan = float(np.exp2(ranks[:listed] / 16).sum())
+            rows.append((owner, n, own, listed, ranks.sum() / n, scan, subsets, keys.astype(np.int64)))
+            if len(rows) == 500:
+                yield _set_rows(rows)
+                rows = []
+        if rows:
+            yield _set_rows(rows)
+
+    return shared_postings(docs.select(F.col(text_col).cast("string").alias("text")), keys_of, judge, SETS_DDL)
+
+
+def _set_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), SETS.types)], schema=SETS)
 
 
 def light_boundary(sets: DataFrame) -> int:

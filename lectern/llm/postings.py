@@ -28,16 +28,13 @@ KEY_BITS = 48
 HOT_RANK = 255
 #: Owners of one key within a flush from which its entries stay with the owners.
 HOT_IN_FLUSH = 256
-FLUSH_OWNERS, FLUSH_KEYS = 16384, 2_000_000
+FLUSH_OWNERS, FLUSH_KEYS = 16384, 1_000_000
 _LOW = np.uint64(0xFFFF)
 _SIXTEEN = np.uint64(16)
 
 BLOCK = pa.schema([("slot", pa.int32()), ("kind", pa.int8()), ("owners", pa.binary()),
                    ("sizes", pa.binary()), ("keys", pa.binary())])
 BLOCK_DDL = "slot int, kind byte, owners binary, sizes binary, keys binary"
-SHARED = pa.schema([("owner", pa.int64()), ("n_keys", pa.int32()), ("keys", pa.list_(pa.int64())),
-                    ("ranks", pa.binary())])
-SHARED_DDL = "owner long, n_keys int, keys array<long>, ranks binary"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -148,7 +145,7 @@ def _batches(rows: Iterator[tuple], at_once: int = 256) -> Iterator[pa.RecordBat
     for row in rows:
         held.append(row)
         weight += len(row[4])
-        if len(held) >= at_once or weight > 16_000_000:
+        if len(held) >= at_once or weight > 4_000_000:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), BLOCK.types)], schema=BLOCK)
             held, weight = [], 0
     if held:
@@ -158,12 +155,14 @@ def _batches(rows: Iterator[tuple], at_once: int = 256) -> Iterator[pa.RecordBat
 def shared_postings(
     df: DataFrame,
     keys_of: Callable[[pa.RecordBatch], Iterator[tuple[int, int, np.ndarray]]],
+    finish: Callable[[Iterator[tuple[int, int, np.ndarray, np.ndarray]]], Iterator[pa.RecordBatch]],
+    ddl: str,
 ) -> DataFrame:
-    """Shared keys per owner: owner, n_keys, keys (rare to common), ranks (one byte each).
+    """Hand each owner with shared keys to ``finish``, which makes the rows (``ddl``).
 
     ``keys_of`` yields (owner, number of keys, distinct uint64 keys under 2**48)
-    per row; an owner that comes again must have the same keys.  Owners without
-    a shared key give no row.  The input should be a scan or a stored table: a
+    per row; an owner that comes again must have the same keys.  ``finish`` gets
+    (owner, number of keys, shared keys from rare to common, their ranks).  The input should be a scan or a stored table: a
     task that runs again must see its rows in the same order.
     """
     slots = shuffle_parts(df)
@@ -220,7 +219,7 @@ def shared_postings(
         yield from _batches(rows())
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All blocks of an owner's slot: one row per owner."""
+        """All blocks of an owner's slot."""
         parts = [(unpack(own, np.int64), unpack(siz, np.int32), unpack(key, np.uint64))
                  for batch in batches
                  for _, _, own, siz, key in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
@@ -234,17 +233,12 @@ def shared_postings(
         fresh = np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1]) | (rank[1:] != rank[:-1])]
         owner, size, key, rank = owner[fresh], size[fresh], key[fresh], rank[fresh]
         starts, counts = _runs(owner)
-        for a in range(0, len(starts), 1000):
-            s, c = starts[a:a + 1000], counts[a:a + 1000]
-            lo, hi = s[0], s[-1] + c[-1]
-            offsets = np.r_[s, hi] - lo
-            keys = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key[lo:hi].astype(np.int64)))
-            ranks = rank[lo:hi].astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owner[s]), pa.array(size[s]), keys,
-                 pa.array([ranks[x - lo:x - lo + n].tobytes() for x, n in zip(s, c, strict=True)], pa.binary())],
-                schema=SHARED)
+
+        def found() -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+            for a, n in zip(starts.tolist(), counts.tolist(), strict=True):
+                yield int(owner[a]), int(size[a]), key[a:a + n], rank[a:a + n].astype(np.uint8)
+        yield from finish(found())
 
     dealt = df.mapInArrow(deal, BLOCK_DDL)
     counted = dealt.repartitionById(slots, F.col("slot")).mapInArrow(count, BLOCK_DDL)
-    return counted.repartitionById(slots, F.col("slot")).mapInArrow(gather, SHARED_DDL)
+    return counted.repartitionById(slots, F.col("slot")).mapInArrow(gather, ddl)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,7 +16,7 @@ KEY_MASK = np.uint64((1 << 48) - 1)
 class WordIds(dict):
     """64-bit ids of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 500_000) -> None:
+    def __init__(self, bound: int = 200_000) -> None:
         self.bound = bound
 
     def __missing__(self, word: bytes) -> int:
@@ -27,9 +29,10 @@ class WordIds(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words)).view(np.uint64)
 
 
-def byte_texts(column: pa.Array) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column, without decoding."""
-    return column.cast(pa.binary()).to_pylist()
+def byte_texts(column: pa.Array, at_once: int = 256) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of a string column, without decoding, a few rows at a time."""
+    for at in range(0, len(column), at_once):
+        yield from column.slice(at, at_once).cast(pa.binary()).to_pylist()
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
