@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.jaccard_join import jaccard_components
+from lectern.llm.language_id import identify
 from lectern.llm.suffix_dedup import without_repeats
 from lectern.llm.token_counts import token_counts
+from lectern.llm.vector_search import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +37,35 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), model).withColumnRenamed("row_id", "doc_id")
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_token_counts": op6_token_counts,
+    "op8_vector_search": op8_vector_search,
+    "op9_language_id": op9_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_vector_search": """
+with v as (
+  select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as t
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum([p[1] * p[2] for p in list_zip(q.t, c.t)]) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5""",
+}
