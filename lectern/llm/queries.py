@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.language_id import identify
+from lectern.llm.quality import quality_scores
 from lectern.llm.suffix_dedup import without_repeats
 from lectern.llm.token_counts import token_counts
 from lectern.llm.vector_search import top_k
@@ -22,6 +23,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.withColumnRenamed("row_id", "doc_id")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = without_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
@@ -48,6 +54,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_quality": op2_quality,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op8_vector_search": op8_vector_search,
