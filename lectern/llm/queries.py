@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.decontamination import contamination, contamination_sql
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.language_id import identify
+from lectern.llm.mixing import mixed, mixing_sql
 from lectern.llm.quality import quality_scores
 from lectern.llm.suffix_dedup import without_repeats
 from lectern.llm.token_counts import token_counts
@@ -28,6 +30,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumnRenamed("row_id", "doc_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(_table(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = without_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
@@ -52,16 +58,27 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents")).withColumnRenamed("row_id", "doc_id")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row_id").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op8_vector_search": op8_vector_search,
     "op9_language_id": op9_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": mixing_sql(),
+    "op10_decontamination": contamination_sql(),
     "op8_vector_search": """
 with v as (
   select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as t
