@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.scratch import stored
+from lectern.llm.scratch import stored, with_keys
+from lectern.operators.relational import join_per_key
+
+PIVOT_ROUNDS = 2
 
 
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
@@ -47,3 +52,53 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         if not moved:
             return labels
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def list_links(
+    entries: DataFrame,
+    payload: Sequence[str],
+    fits: Callable[[str, str], Column],
+    confirm: Callable[[DataFrame], DataFrame],
+    rounds: int = PIVOT_ROUNDS,
+) -> DataFrame:
+    """Links between nodes that meet in a list, enough to join every component.
+
+    ``entries`` has key (of the list), node, weight and the ``payload`` columns.
+    ``confirm`` gets candidate pairs a, b with the payload of both as a_*, b_*,
+    possibly more than once, and returns the linked pairs (a, b).  ``fits(x, y)``
+    is a cheap condition on two column prefixes.
+
+    In each round every list is compared with its heaviest node, which then
+    leaves it; a list whose nodes are all in one component needs no more work.
+    What is left after the rounds is compared pair by pair, but only across
+    components.  A list of many near copies so costs a few times its length.
+    """
+    columns = ["key", "node", "weight", *payload]
+
+    def side(df: DataFrame, prefix: str) -> list[Column]:
+        return [F.col("node").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in payload]]
+
+    many = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("key"), "keys")
+    rest = stored(with_keys(entries.select(*columns), many, "key").withColumn("label", F.col("node")), "lists")
+    found = None
+    for _ in range(rounds):
+        central = rest.groupBy("key").agg(F.max(F.struct("weight", "node", "label", *payload)).alias("c")).select(
+            "key", F.col("c.node").alias("b"), F.col("c.label").alias("b_label"),
+            *[F.col(f"c.{c}").alias(f"b_{c}") for c in payload])
+        met = stored(join_per_key(rest, central, "key"), "met")
+        near = met.where("label <> b_label").select(
+            *side(met, "a"), "b", *[f"b_{c}" for c in payload]).where(fits("a", "b"))
+        links = confirm(near)
+        found = stored(links if found is None else found.union(links), "links")
+        better = components(found).select(F.col("node").alias("known"), F.col("label").alias("better"))
+        left = met.where("node <> b").join(better, F.col("node") == F.col("known"), "left").select(
+            *columns, F.coalesce("better", "node").alias("label"))
+        left = stored(left, "left")
+        mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        rest = stored(join_per_key(left, mixed, "key"), "lists")
+        if rest.isEmpty():
+            return found
+    one = rest.select("key", *side(rest, "a"), F.col("label").alias("a_label"))
+    two = rest.select("key", *side(rest, "b"), F.col("label").alias("b_label"))
+    last = one.join(two, "key").where("a < b and a_label <> b_label").where(fits("a", "b"))
+    return stored(found.union(confirm(last)), "links")

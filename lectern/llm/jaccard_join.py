@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.components import components
+from lectern.llm.components import components, list_links
 from lectern.llm.postings import shared_postings
 from lectern.llm.scratch import need, stored
 from lectern.llm.words import KEY_MASK, WordIds, byte_texts, shingles
@@ -45,7 +45,6 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: No set above this size is ever light; the cost rule picks the boundary below it.
 LARGEST_LIGHT = 20
-PIVOT_ROUNDS = 2
 
 SIGNED = pa.schema([("row_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64())])
 SETS = pa.schema([("set_id", pa.int64()), ("n", pa.int32()), ("own", pa.int32()), ("listed", pa.int32()),
@@ -178,7 +177,7 @@ def _needed(a: str, b: str) -> F.Column:
 
 
 def _fits(a: str, b: str) -> F.Column:
-    return F.expr(f"{DENOMINATOR} * least({a}, {b}) >= {NUMERATOR} * greatest({a}, {b})")
+    return F.expr(f"{DENOMINATOR} * least({a}_n, {b}_n) >= {NUMERATOR} * greatest({a}_n, {b}_n)")
 
 
 def verified(candidates: DataFrame, sets: DataFrame) -> DataFrame:
@@ -211,33 +210,10 @@ def heavy_links(sets: DataFrame, boundary: int) -> DataFrame:
     """
     large = sets.where(F.col("n") >= least_overlap(boundary + 1))
     entries = stored(
-        large.select("set_id", "n", "own", "weight", F.posexplode(F.slice("keys", 1, F.col("listed"))).alias("at", "key"))
-        .select("key", "set_id", "n", "weight", (F.col("own") + F.col("at") + 1).alias("pos")), "entries")
-    many = entries.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("key")
-    rest = stored(join_per_key(entries, many, "key").withColumn("label", F.col("set_id")), "lists")
-    found = None
-    for _ in range(PIVOT_ROUNDS):
-        central = rest.groupBy("key").agg(F.max(F.struct("weight", "set_id", "n", "pos", "label")).alias("c")).select(
-            "key", F.col("c.set_id").alias("b"), F.col("c.n").alias("b_n"), F.col("c.pos").alias("b_pos"),
-            F.col("c.label").alias("b_label"))
-        met = stored(join_per_key(rest, central, "key"), "met")
-        candidates = met.where(F.col("label") != F.col("b_label")).where(_fits("n", "b_n")).select(
-            F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos"), "b", "b_n", "b_pos")
-        links = verified(candidates, sets)
-        found = stored(links if found is None else found.union(links), "links")
-        labels = components(found).withColumnRenamed("node", "set_id").withColumnRenamed("label", "better")
-        # A central set has been compared with its whole list and leaves it.
-        left = met.where("set_id <> b").select("key", "set_id", "n", "weight", "pos").join(labels, "set_id", "left").select(
-            "key", "set_id", "n", "weight", "pos", F.coalesce("better", "set_id").alias("label"))
-        left = stored(left, "left")
-        mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        rest = stored(join_per_key(left, mixed, "key"), "lists")
-        if rest.isEmpty():
-            return found
-    one = rest.select("key", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos"), F.col("label").alias("a_label"))
-    two = rest.select("key", F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos"), F.col("label").alias("b_label"))
-    last = one.join(two, "key").where("a < b and a_label <> b_label").where(_fits("a_n", "b_n"))
-    return stored(found.union(verified(last.drop("key", "a_label", "b_label"), sets)), "links")
+        large.select(F.col("set_id").alias("node"), "n", "own", "weight",
+                     F.posexplode(F.slice("keys", 1, F.col("listed"))).alias("at", "key"))
+        .select("key", "node", "weight", "n", (F.col("own") + F.col("at") + 1).alias("pos")), "entries")
+    return list_links(entries, ["n", "pos"], _fits, lambda candidates: verified(candidates, sets))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

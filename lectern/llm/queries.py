@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.llm.decontamination import contamination, contamination_sql
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.language_id import identify
+from lectern.llm.line_dedup import dropped_lines
 from lectern.llm.mixing import mixed, mixing_sql
 from lectern.llm.quality import quality_scores
 from lectern.llm.suffix_dedup import without_repeats
@@ -42,6 +43,16 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = dropped_lines(docs)
+    ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"))
+    return ids.join(found, "row", "left").select(
+        "doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_counts": op6_token_counts,
     "op8_vector_search": op8_vector_search,
     "op9_language_id": op9_language_id,

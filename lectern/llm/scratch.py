@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from lectern.operators.relational import join_per_key
 from lectern.session import fresh_path
 
+#: Key tables of more rows than this are not broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write once under the shared folder and read back.
@@ -42,3 +47,14 @@ def free_names(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
 
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in the stored one-column table ``keys`` of distinct keys.
+
+    Counted first: a table of a few megabytes is broadcast, a larger one is
+    shuffled and joined so that hot keys can be split.
+    """
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keys), key, "left_semi")
+    return join_per_key(rows, keys.groupBy(key).agg(F.count(F.lit(1)).alias("__times")), key).drop("__times")
