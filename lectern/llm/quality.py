@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.scratch import need, stored
@@ -145,9 +145,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     need(docs, [id_col, text_col])
     need(labels, [id_col, label_col])
     measured = stored(document_statistics(docs, id_col, text_col), "statistics")
-    held_out = F.coalesce(F.crc32(F.col("row_id").cast("string")) % 4 == 2, F.lit(False))
-    marked = labels.select(F.col(id_col).cast("long").alias("row_id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
-    model = fit(measured.where(~held_out), marked)
+    held_out = F.coalesce(_fold() == 2, F.lit(False))
+    model = fit(measured.where(~held_out), _labels(labels, id_col, label_col))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,3 +157,33 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     rows = measured.select("row_id", held_out.alias("held_out"), "x").mapInArrow(
         judge, "row_id long, held_out boolean, score double")
     return rows.withColumn("predicted", (F.col("score") >= cutoff).cast("int"))
+
+
+def _fold() -> Column:
+    return F.crc32(F.col("row_id").cast("string")) % 4
+
+
+def _labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    return labels.select(F.col(id_col).cast("long").alias("row_id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "quality", cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that score the cutoff or more, all columns as they are.
+
+    Learns like `quality_scores`; only labelled texts are measured for that, and
+    the documents are then judged where they are scanned.
+    """
+    need(docs, [id_col, text_col])
+    need(labels, [id_col, label_col])
+    marked = _labels(labels, id_col, label_col).where(_fold() != 2)
+    texts = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
+    model = fit(document_statistics(texts.join(marked.select("row_id").distinct(), "row_id", "left_semi"), "row_id", "text"), marked)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([statistics(t or b"") for t in byte_texts(batch.column(at))]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(model.score(x) >= cutoff))
+
+    return docs.mapInArrow(keep, docs.schema)
