@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.llm.decontamination import contamination, contamination_sql
 from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.language_id import identify
+from lectern.llm.license_scan import license_scan, license_scan_sql
 from lectern.llm.line_dedup import dropped_lines
 from lectern.llm.mixing import mixed, mixing_sql
 from lectern.llm.quality import quality_scores
@@ -60,6 +61,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), model).withColumnRenamed("row_id", "doc_id")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row_id").alias("doc_id"), F.array_join("sequence", ",").alias("sequence"),
+                        F.array_join("licenses", ",").alias("licenses"))
+
+
 def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_license_scan": op7_license_scan,
     "op8_vector_search": op8_vector_search,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing_sql(),
+    "op7_license_scan": license_scan_sql(),
     "op10_decontamination": contamination_sql(),
     "op8_vector_search": """
 with v as (
