@@ -31,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.components import components, list_links
@@ -172,28 +172,22 @@ def _subset_rows(owner: int, buckets: list[int], smaller: list[int | None]) -> p
         names=["bucket", "set_id", "smaller"])
 
 
-def _needed(a: str, b: str) -> F.Column:
-    return F.expr(f"({NUMERATOR} * ({a} + {b}) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR}")
+def _needed(a: str, b: str) -> str:
+    return f"(({NUMERATOR} * ({a}_n + {b}_n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR})"
 
 
-def _fits(a: str, b: str) -> F.Column:
-    return F.expr(f"{DENOMINATOR} * least({a}_n, {b}_n) >= {NUMERATOR} * greatest({a}_n, {b}_n)")
+def _fits(a: str, b: str) -> Column:
+    """What sizes and positions allow, for the first shingle that a similar pair shares.
 
+    From there on the sets can share at most what either has left.
+    """
+    sizes = f"{DENOMINATOR} * least({a}_n, {b}_n) >= {NUMERATOR} * greatest({a}_n, {b}_n)"
+    return F.expr(f"{sizes} and 1 + least({a}_n - {a}_pos, {b}_n - {b}_pos) >= {_needed(a, b)}")
 
-def verified(candidates: DataFrame, sets: DataFrame) -> DataFrame:
-    """Similar pairs (a, b) among entries (a, a_n, a_pos, b, b_n, b_pos) of the lists.
 
-    Each entry is one shingle that both sets list.  After the last of them the
-    sets can share at most what either has left.
-    """
-    pairs = (
-        candidates.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("met"), F.max("a_pos").alias("a_pos"), F.max("b_pos").alias("b_pos"),
-             F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"))
-        .withColumn("needed", _needed("a_n", "b_n"))
-        .where("met + least(a_n - a_pos, b_n - b_pos) >= needed")
-        .select("a", "b", "needed")
-    )
+def verified(candidates: DataFrame, sets: DataFrame) -> DataFrame:
+    """The similar pairs (a, b) among candidates (a, a_n, b, b_n)."""
+    pairs = candidates.select("a", "b", F.expr(_needed("a", "b")).alias("needed")).distinct()
     left = sets.select(F.col("set_id").alias("a"), F.col("keys").alias("a_keys"))
     right = sets.select(F.col("set_id").alias("b"), F.col("keys").alias("b_keys"))
     return (
