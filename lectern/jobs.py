@@ -140,7 +140,8 @@ def build_rollouts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     made = training.rollout_set(
         exams, outcomes, args.image, args.project_dir, args.library_dir, n=args.attempts
     )
-    return stage_once(spark, args.out, lambda: made)
+    made.write.mode("overwrite").parquet(args.out)
+    return spark.read.schema(made.schema).parquet(args.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -163,20 +164,20 @@ def parser() -> argparse.ArgumentParser:
 
     rank = command("rank-packages", rank_packages, "dump", "work")
     rank.add_argument("--cutoff", default=trending.CUTOFF)
-    rank.add_argument("--splittable", nargs="*", default=[])
+    rank.add_argument("--splittable", nargs="*", default=["crate_downloads", "dependencies", "versions"])
     rank.add_argument("--top", type=int, default=trending.TOP)
     make = command("synthesise", synthesise, "documents", model=True)
-    make.add_argument("--max-topics", type=int, default=1000)
+    make.add_argument("--max-topics", type=int)
     make.add_argument("--batch-size", type=int)
     solve = command("evaluate", evaluate, model=True, records=True)
-    solve.add_argument("--limit", type=int, default=evaluation.EVALUATED)
+    solve.add_argument("--limit", type=int)
     command("verify", verify, model=True, records=True)
     train = command("training-set", build_training_set, records=True)
     train.add_argument("--form", choices=["conversations", "completions"], default="conversations")
     train.add_argument("--max-length", type=int, default=training.MAX_TRAINING_LENGTH)
-    train.add_argument("--on-exceed", choices=["drop", "error"], default="drop")
+    train.add_argument("--on-exceed", choices=["drop", "error"], default="error")
     examine = command("exam-set", build_exams, "topics", "outcomes", "image", model=True)
-    examine.add_argument("--max-topics", type=int, default=exam_plan.MAX_TOPICS)
+    examine.add_argument("--max-topics", type=int)
     roll = command("rollouts", build_rollouts, "exams", "outcomes", "image", "project-dir", "library-dir")
     roll.add_argument("--attempts", type=int, default=training.ROLLOUTS_PER_TASK)
     return top

@@ -31,8 +31,10 @@ class CallableModel:
 
     The loaded object takes a list of prompts and returns a list as long, of
     response texts (``None`` for no answer) or exceptions for single failures.
-    An exception it raises is taken to be the fault of one prompt: the prompts
-    of that call are then sent one by one.  ``batch_size`` prompts go into one
+    An exception it raises fails that attempt of every prompt in the call; the
+    next attempt sends each of them on its own, so that one bad prompt does not
+    fail the others again.  No prompt is ever sent more than ``max_attempts``
+    times.  ``batch_size`` prompts go into one
     call and ``threads`` calls run at a time in each task.
     """
 
@@ -57,9 +59,7 @@ def _send(infer, prompts: list[str]) -> list:
     try:
         replies = list(infer(prompts))
     except Exception as failure:
-        if len(prompts) == 1:
-            return [failure]
-        return [_send(infer, [prompt])[0] for prompt in prompts]
+        return [failure] * len(prompts)
     if len(replies) != len(prompts):
         raise RuntimeError(f"the model gave {len(replies)} replies to {len(prompts)} prompts")
     return replies
@@ -69,10 +69,17 @@ def _answer(infer, prompts: list[str], max_attempts: int, retry_on: tuple) -> pd
     """Ask until each prompt has a reply, a final failure or no attempt left."""
     rows: list = [None] * len(prompts)
     waiting = list(range(len(prompts)))
+    alone = False
     for attempt in range(1, max_attempts + 1):
         again = []
-        for i, reply in zip(waiting, _send(infer, [prompts[i] for i in waiting])):
-            if not isinstance(reply, Exception):
+        calls = [[i] for i in waiting] if alone else [waiting]
+        replies = [reply for call in calls for reply in _send(infer, [prompts[i] for i in call])]
+        # The failure of a whole call says nothing yet about its prompts.
+        shared = len(waiting) > 1 and not alone and all(r is replies[0] for r in replies) and isinstance(replies[0], Exception)
+        for i, reply in zip(waiting, replies):
+            if shared and attempt < max_attempts:
+                again.append(i)
+            elif not isinstance(reply, Exception):
                 rows[i] = (reply, attempt, None, None)
             elif not isinstance(reply, retry_on):
                 rows[i] = (None, attempt, f"{type(reply).__name__}: {reply}", "other")
@@ -80,7 +87,7 @@ def _answer(infer, prompts: list[str], max_attempts: int, retry_on: tuple) -> pd
                 rows[i] = (None, attempt, f"{type(reply).__name__}: {reply}", "exhausted")
             else:
                 again.append(i)
-        waiting = again
+        alone, waiting = shared, again
         if not waiting:
             break
     return pd.DataFrame(rows, columns=list(RESPONSE_COLUMNS))

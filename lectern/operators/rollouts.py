@@ -23,11 +23,31 @@ def fan_out(tasks: DataFrame, n: int = ROLLOUTS_PER_TASK) -> DataFrame:
 
 
 def rollout_rewards(
-    tasks: DataFrame, outcomes: DataFrame, key: str, n: int = ROLLOUTS_PER_TASK
+    tasks: DataFrame,
+    outcomes: DataFrame,
+    key: str,
+    n: int = ROLLOUTS_PER_TASK,
+    outside: str = "error",
 ) -> DataFrame:
-    """Reward 1.0 for a successful attempt, else 0.0; attempts without outcome give no row."""
+    """Reward 1.0 for a successful attempt, else 0.0, for every outcome of a task.
+
+    Attempts without outcome give no row.  An outcome whose attempt is not one of
+    1..n stops the job; with ``outside="drop"`` it is left out, with ``"keep"``
+    it counts like the others.
+    """
     results = outcomes.select(key, "attempt", F.col("success").cast("double").alias("reward"))
-    return fan_out(tasks, n).join(results, [key, "attempt"])
+    within = F.coalesce(F.col("attempt").between(1, n), F.lit(False))
+    if outside == "error":
+        message = F.concat(
+            F.lit(f"outcome outside 1..{n}: {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null")),
+            F.lit(", attempt "), F.coalesce(F.col("attempt").cast("string"), F.lit("null")),
+        )
+        results = fail_unless(results, within, message)
+    elif outside == "drop":
+        results = results.where(within)
+    elif outside != "keep":
+        raise ValueError(f"unknown way to handle attempts outside 1..n: {outside!r}")
+    return tasks.join(results, key).select(key, "attempt", *[c for c in tasks.columns if c != key], "reward")
 
 
 def group_advantage(rewards: DataFrame, key: str) -> DataFrame:
@@ -58,13 +78,15 @@ def leading_words(text: Column, limit: int) -> Column:
     """The text up to the end of its ``limit``-th word."""
     if limit <= 0:
         return F.lit("")
-    return F.regexp_extract(text, r"^\s*(?:\S+\s+){0,%d}\S+" % (limit - 1), 0)
+    # Each word with the space before it; no pattern has to match more than one.
+    words = F.regexp_extract_all(text, F.lit(r"\s*\S+"), F.lit(0))
+    return F.array_join(F.slice(words, 1, limit), "")
 
 
 def length_budget(
     df: DataFrame,
     text: str,
-    limit: int,
+    limit: int | None,
     key: str,
     on_exceed: str = "error",
     measure: Callable[[Column], Column] = word_count,
@@ -74,8 +96,11 @@ def length_budget(
 
     ``error`` stops the job and names the key and size, ``drop`` leaves the row
     out, ``truncate`` shortens with ``cut``.  A tokenizer can be given as
-    ``measure`` and ``cut``.
+    ``measure`` and ``cut``.  No limit keeps every row, and a null text has no
+    length to hold it to.
     """
+    if limit is None:
+        return df
     size = measure(F.col(text))
     fits = F.coalesce(size <= F.lit(limit), F.lit(True))
     if on_exceed == "error":

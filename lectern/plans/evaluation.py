@@ -11,19 +11,16 @@ from lectern.operators.model_stage import apply_error_policy
 from lectern.operators.relational import sorted_head
 from lectern.sources.stages import stage_once
 
-# Fixed value: number of records in one evaluation.
-EVALUATED = 12
-
 
 def evaluate_records(
     records: DataFrame,
     solver: C.Model,
     judge: C.Model,
     work: str,
-    limit: int | None = EVALUATED,
+    limit: int | None = None,
     concurrency: int | None = None,
 ) -> DataFrame:
-    """Judged answers of the first ``limit`` records by question.
+    """Judged answers of all records, or of the first ``limit`` by question.
 
     A record whose solving or judging failed is dropped and does not count.
     """

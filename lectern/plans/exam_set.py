@@ -9,9 +9,6 @@ from lectern.operators.exams import exam_rows
 from lectern.operators.model_stage import apply_error_policy
 from lectern.operators.relational import input_prefix, zip_by_key
 
-# Fixed value: topics taken into one exam set.
-MAX_TOPICS = 30
-
 
 def exam_set(
     topics: DataFrame,
@@ -19,10 +16,10 @@ def exam_set(
     judge: C.Model,
     image_name: Column,
     work: str,
-    max_topics: int | None = MAX_TOPICS,
+    max_topics: int | None = None,
     concurrency: int | None = None,
 ) -> DataFrame:
-    """Exam rows of the useful topics among the first ``max_topics``.
+    """Exam rows of the useful topics, of the first ``max_topics`` if given.
 
     ``outcomes`` has what came of generating an exam for a topic: ``topic_key``,
     ``question``, ``exit_code``, ``solution_commit``, ``problem_commit``,

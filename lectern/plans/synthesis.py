@@ -86,14 +86,14 @@ def qra_records(
     docs: DataFrame,
     models: SynthesisModels,
     work: str,
-    max_topics: int | None = 1000,
+    max_topics: int | None = None,
     batch_size: int | None = None,
     concurrency: int | None = None,
 ) -> DataFrame:
     """The whole synthesis.  Every model step is a table under ``work``: run again
     with the same folder, it goes on where it stopped.
 
-    ``max_topics`` cuts the topics in input order before they are judged.  With
+    ``max_topics``, if given, cuts the topics in input order before they are judged.  With
     ``batch_size`` the topics are worked off in batches of that many.
     """
     topics = input_prefix(

@@ -12,6 +12,7 @@ from lectern.operators.exams import load_exams
 from lectern.operators.records import as_conversational
 from lectern.operators.rollouts import (
     MAX_PROMPT_LENGTH,
+    MAX_RESPONSE_LENGTH,
     MAX_TRAINING_LENGTH,
     ROLLOUTS_PER_TASK,
     group_advantage,
@@ -25,11 +26,14 @@ def training_set(
     records: DataFrame,
     key: str,
     limit: int = MAX_TRAINING_LENGTH,
-    on_exceed: str = "drop",
+    on_exceed: str = "error",
     system_prompt: str = DEFAULT_SYSTEM_PROMPT,
     measure: Callable[[Column], Column] = word_count,
 ) -> DataFrame:
-    """Conversations of three messages whose joint text keeps to the limit."""
+    """Conversations of three messages whose joint text keeps to the limit.
+
+    A longer one stops the job, unless ``on_exceed="drop"`` asks to leave it out.
+    """
     if on_exceed == "truncate":
         raise ValueError("a conversation is not cut: use drop or error")
     joint = F.concat_ws(
@@ -50,9 +54,22 @@ def rollout_set(
     key: str = "id",
     n: int = ROLLOUTS_PER_TASK,
     prompt_limit: int = MAX_PROMPT_LENGTH,
+    response_limit: int = MAX_RESPONSE_LENGTH,
+    on_long_response: str = "truncate",
+    outside: str = "error",
 ) -> DataFrame:
-    """Exams as tasks, n attempts each, with reward and advantage within the task."""
+    """Exams as tasks, n attempts each, with reward and advantage within the task.
+
+    Outcomes may carry the ``response`` of the attempt; it is held to
+    ``response_limit`` words and handed on.
+    """
     tasks = length_budget(
         load_exams(rows, image_name, project_dir, library_dir), "question", prompt_limit, key
     )
-    return group_advantage(rollout_rewards(tasks, outcomes, key, n), key)
+    rewards = rollout_rewards(tasks, outcomes, key, n, outside)
+    if "response" in outcomes.columns:
+        held = length_budget(
+            outcomes.select(key, "attempt", "response"), "response", response_limit, key, on_long_response
+        )
+        rewards = rewards.join(held, [key, "attempt"])
+    return group_advantage(rewards, key)

@@ -27,13 +27,13 @@ RESULT_COLUMNS = (
 
 
 def load_registry(
-    spark: SparkSession, folder: str, work: str, splittable: Collection[str] = ()
+    spark: SparkSession, folder: str, work: str, splittable: Collection[str] = ("crate_downloads", "dependencies", "versions")
 ) -> dict[str, DataFrame]:
     """The four CSV tables of a registry dump, turned into Parquet once.
 
-    Downloads are read strictly; writing the table checks all of it.  Name under
-    ``splittable`` the tables that are known to hold no line break inside a
-    value: many tasks then read one file.
+    Downloads are read strictly; writing the table checks all of it.  The tables
+    of ``splittable`` hold no line break inside a value, so many tasks read one
+    file; the packages with their readmes are not among them by default.
     """
     readers = {
         "crates": (read_csv_lenient, S.CRATES),
@@ -80,9 +80,8 @@ def trending_packages(
 
     What is kept small: the readme is judged in the scan and goes no further.
     Edges meet the packages of new repositories first, which drops most of them
-    before they meet the versions.  Pairs are made distinct once; one aggregate
-    over them gives both the dependant count and whether the package is used
-    inside its own repository.
+    before they meet the versions.  Pairs are made distinct before anything else
+    is joined to them, so an id that occurs in several rows counts once.
     """
     packages = with_parsed_dates(crates)
     new_repositories = R.since(R.first_seen(packages), "repo_start_date", cutoff)
@@ -90,39 +89,27 @@ def trending_packages(
         packages.select("id", "repository"), new_repositories.select("repository"), "repository"
     )
 
-    # The new packages keep their column names here, so that this join and the one
-    # with the candidates below read the same shuffled copy of them.
-    to_new = dependencies.select("version_id", "crate_id").join(
-        new_packages, F.col("crate_id") == F.col("id")
-    )
-    edges = R.edges_with_owner(
-        R.project(to_new, version_id="version_id", crate_id="crate_id", target_repo="repository"),
-        versions,
-    )
-    pairs = R.distinct_rows(edges, "crate_id", "dependant_id", "target_repo")
-    homes = R.project(packages, dependant_id="id", dependant_repo="repository").where(
-        F.col("dependant_repo").isNotNull()
-    )
-    usage = (
-        pairs.join(homes, "dependant_id", "left")
-        .groupBy("crate_id")
-        .agg(
-            F.count(F.lit(1)).alias("direct_dependant_count"),
-            F.coalesce(
-                F.bool_or(F.col("target_repo") == F.col("dependant_repo")), F.lit(False)
-            ).alias("internal"),
-        )
+    new_ids = R.project(new_packages, crate_id="id").distinct()
+    to_new = R.join_per_key(dependencies.select("version_id", "crate_id"), new_ids, "crate_id")
+    pairs = R.distinct_rows(R.edges_with_owner(to_new, versions), "crate_id", "dependant_id")
+    usage = pairs.groupBy(F.col("crate_id").alias("id")).agg(F.count(F.lit(1)).alias("direct_dependant_count"))
+    homes = R.project(packages, dependant_id="id", repository="repository").where(
+        F.col("repository").isNotNull()
     )
+    # Packages that another one of their own repository depends on.
+    internal = pairs.join(homes, "dependant_id").select(
+        F.col("crate_id").alias("id"), "repository"
+    ).join(new_packages, ["id", "repository"], "left_semi").select("id").distinct()
 
-    candidates = packages.where(has_quality()).select(
-        "id", "name", "created_at", "description", "homepage", "documentation"
+    candidates = packages.where(F.col("id").isNotNull() & has_quality()).select(
+        "id", "name", "created_at", "description", "repository", "homepage", "documentation"
     )
     loads = R.project(downloads, id="crate_id", downloads="downloads")
     ranked = (
-        candidates.join(new_packages, "id")
+        R.join_per_key(candidates, new_repositories.select("repository"), "repository")
         .join(loads, "id", "left")
-        .join(usage.withColumnRenamed("crate_id", "id"), "id", "left")
+        .join(usage, "id", "left")
     )
-    frontends = ranked.where(~F.coalesce("internal", F.lit(False)))
+    frontends = ranked.join(internal, "id", "left_anti")
     filled = fill_numeric_nulls(frontends)
     return R.top_k(filled, "direct_dependant_count", top, "id").select(*RESULT_COLUMNS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.operators.positions import with_position
-from lectern.sources.stages import is_complete
+from lectern.sources.stages import fingerprint, is_complete
 
 _BATCH = T.StructField("batch_id", T.IntegerType())
 
@@ -28,9 +28,12 @@ def checkpointed_batches(
     reads only its own files.  A batch is one job and is done when its folder is
     committed, also when it yields no rows; a restart goes on after the last
     done one.  Choose a size that gives each job enough rows for the cluster.
-    ``process`` gets the batch and a folder for its own stages.
+    ``process`` gets the batch and a folder for its own stages.  Everything lies
+    under a folder named for the input, the order and the batch size, so a run
+    on other input or with other batches starts anew.
     """
     spark = df.sparkSession
+    path = f"{path}/{fingerprint(df, order=list(order_by), size=batch_size)[:16]}"
 
     def numbered() -> DataFrame:
         placed = with_position(df, order_by, f"{path}/ordered", "__pos")

@@ -11,8 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lectern.session import hadoop_path
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -74,15 +72,16 @@ select *,
             when substr(md5(concat('n:', topic_key)), 1, 1) < 'b' then 2
             else 3 end as n_qa
 from topics""",
-    "qa": """
-select t.file_pos, t.topic_pos, i.qa_pos, t.topic_key, t.file_path,
-       concat(t.topic_key, ':', cast(i.qa_pos as varchar(20))) as qa_key,
-       concat(t.title, ' #', cast(i.qa_pos as varchar(20))) as question,
-       case when split_part(t.description, '.', i.qa_pos + 1) = '' then t.description
-            else split_part(t.description, '.', i.qa_pos + 1) end as answer
-from judged_topics t
-join (select 0 as qa_pos union all select 1 union all select 2) i on i.qa_pos < t.n_qa
-where t.is_useful and t.attempts_needed <= 3""",
+    "qa": {
+        dialect: f"""
+select t.file_pos, t.topic_pos, t.qa_pos, t.topic_key, t.file_path,
+       concat(t.topic_key, ':', cast(t.qa_pos as varchar(20))) as qa_key,
+       concat(t.title, ' #', cast(t.qa_pos as varchar(20))) as question,
+       case when split_part(t.description, '.', t.qa_pos + 1) = '' then t.description
+            else split_part(t.description, '.', t.qa_pos + 1) end as answer
+from (select *, {numbers} as qa_pos from judged_topics where is_useful and attempts_needed <= 3) t"""
+        for dialect, numbers in (("spark", "explode(sequence(0, n_qa - 1))"), ("duckdb", "unnest(range(0, n_qa))"))
+    },
     "qra": """
 select *, concat('Because ', answer) as reasoning
 from qa where substr(md5(concat('why:', qa_key)), 2, 1) <> '0'""",
@@ -121,12 +120,13 @@ select topic_key, topic_title, topic_description, file_path, image_name,
 from exam_candidates
 where error is not null
    or (exit_code = 0 and solution_commit is not null and problem_commit is not null)""",
-    "attempts": """
-select c.topic_key, a.attempt, a.attempt % 2 = 0 as with_library,
-       substr(md5(concat(c.topic_key, '#', cast(a.attempt as varchar(20)))), 1, 1) < '8' as success
-from exam_table c
-join (select 1 as attempt union all select 2 union all select 3 union all select 4) a
-  on c.status = 'generated'""",
+    "attempts": {
+        dialect: f"""
+select topic_key, attempt, attempt % 2 = 0 as with_library,
+       substr(md5(concat(topic_key, '#', cast(attempt as varchar(20)))), 1, 1) < '8' as success
+from (select *, {numbers} as attempt from exam_table where status = 'generated') c"""
+        for dialect, numbers in (("spark", "explode(sequence(1, 4))"), ("duckdb", "unnest(range(1, 5))"))
+    },
     "conversation_events": """
 select conv_id, turn, role,
        case when length(text) < 60 then concat(text, ' [no text content]') else text end as text
@@ -180,30 +180,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread_if_unsplit(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Spread a file that Spark cannot split over the task slots.
-
-    The test files have one row group, so one task would do all work per line.
-    A file larger than one split is read by many tasks and is left alone.
-    """
-    fs, target = hadoop_path(spark, path)
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    if fs.getContentSummary(target).getLength() > split:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run SQL over the tables and views in Spark."""
     text = with_views(sql, "spark")
     for name in TABLES:
         if re.search(rf"\b{name}\b", text):
-            rows = table(spark, sf_dir, name)
-            if name == "documents" and "doc_lines" in text:
-                rows = spread_if_unsplit(spark, rows, f"{sf_dir}/{name}.parquet")
-            rows.createOrReplaceTempView(name)
+            table(spark, sf_dir, name).createOrReplaceTempView(name)
     return spark.sql(text)
 
 

@@ -29,9 +29,17 @@ def test_iso_timestamps(spark, zone):
         "2024-07-01T12:34": "2024-07-01 12:34:00.000000",
         "2024-07-01 12:34+01": "2024-07-01 11:34:00.000000",
         "2024-07-01": "2024-07-01 00:00:00.000000",
+        "20240701T120000": "2024-07-01 12:00:00.000000",
+        "20240701T1234+0130": "2024-07-01 11:04:00.000000",
+        "2024-W27-1": "2024-07-01 00:00:00.000000",
+        "2020W537T23": "2021-01-03 23:00:00.000000",
+        "2024-07-01T12": "2024-07-01 12:00:00.000000",
+        "2024-07-01_12:34:56,5": "2024-07-01 12:34:56.500000",
+        "2024-07-01T12:34:56.123456789Z": "2024-07-01 12:34:56.123456",
+        "2024-07-01T12:34:56+01:02:03": "2024-07-01 11:32:53.000000",
     }
     refused = [
-        "2024", "2024-07", "12:30", "garbage", "", None, "20240701T120000", "2024-W27-1",
+        "2024", "2024-07", "12:30", "garbage", "", None, "2023-W53-1", "2024-W27-8", "2024-W00-1",
         "2024-13-01", "2024-02-30", "2024-07-01T25:00:00", " 2024-07-01",
     ]
     spark.conf.set("spark.sql.session.timeZone", zone)

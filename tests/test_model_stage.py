@@ -80,7 +80,7 @@ def test_other_errors_can_be_retried_too(spark):
 
 def test_a_raised_error_is_put_on_its_own_prompt(spark):
     prompts = ["a", "b", "bad", "c"]
-    got = asked(spark, prompts, CallableModel(RaisesForBatch), concurrency=1)
+    got = asked(spark, prompts, CallableModel(RaisesForBatch, max_attempts=2), concurrency=1)
     assert {p: r[0] for p, r in got.items()} == {"a": "A", "b": "B", "c": "C", "bad": None}
     assert got["bad"][3] == "other"
 
@@ -199,3 +199,30 @@ def test_unknown_problem_type_stops_the_job(spark, folder):
     with pytest.raises(Exception, match="unknown problem type: essay"):
         curation.dispatch_problem_type(topics, CallableModel(Essay), folder).collect()
     assert curation.dispatch_problem_type(topics).first().problem_type == "qa"
+
+
+class Counts:
+    """Fails every call that holds a bad prompt, and notes what it is sent."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self):
+        def infer(prompts):
+            import os
+            import uuid
+            with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as file:
+                file.write("\n".join(prompts))
+            if "bad" in prompts:
+                raise ModelCallError("bad")
+            return [p.upper() for p in prompts]
+        return infer
+
+
+def test_no_prompt_is_sent_more_often_than_allowed(spark, tmp_path):
+    prompts = ["a", "b", "bad", "c"]
+    got = asked(spark, prompts, CallableModel(Counts(str(tmp_path)), max_attempts=3), concurrency=1)
+    sent = [p for file in tmp_path.iterdir() for p in file.read_text().splitlines()]
+    assert {p: sent.count(p) for p in prompts} == {"a": 2, "b": 2, "bad": 3, "c": 2}
+    assert {p: r[1] for p, r in got.items()} == {"a": 2, "b": 2, "bad": 3, "c": 2}
+    assert got["bad"][3] == "exhausted"

@@ -185,7 +185,7 @@ def test_rollouts(spark):
     outcomes = spark.createDataFrame(
         [("a", i, i % 2 == 0) for i in range(1, 5)] + [("b", i, True) for i in range(1, 5)]
         + [("a", 5, True), ("z", 1, True)], "id string, attempt int, success boolean")
-    rewards = rollouts.rollout_rewards(tasks, outcomes, "id")
+    rewards = rollouts.rollout_rewards(tasks, outcomes, "id", outside="drop")
     assert rewards.count() == 8
     scored = {(r.id, r.attempt): r.advantage for r in rollouts.group_advantage(rewards, "id").collect()}
     assert all(scored["b", i] == 0 for i in range(1, 5))
@@ -225,3 +225,18 @@ def test_records(spark):
         "qa_key string, question string, answer string, reasoning string, "
         "agent_reasoning string, agent_answer string, is_correct boolean")
     assert records.solve_results(judged).first().qra.reasoning == "r"
+
+
+def test_long_texts_are_cut_by_words(spark):
+    df = spark.createDataFrame([(1, " ".join(["w  x\n"] * 15_000)), (2, None), (3, "a b")], "k int, t string")
+    cut = {r.k: r.t for r in rollouts.length_budget(df, "t", 20_000, "k", "truncate").collect()}
+    assert len(cut[1].split()) == 20_000 and cut[1].startswith("w  x\n w") and cut[2] is None and cut[3] == "a b"
+
+
+def test_outcomes_outside_the_attempts(spark):
+    tasks = spark.createDataFrame([("a",)], "id string")
+    outcomes = spark.createDataFrame([("a", i, True) for i in range(8)], "id string, attempt int, success boolean")
+    with pytest.raises(Exception, match="outside 1..4"):
+        rollouts.rollout_rewards(tasks, outcomes, "id").collect()
+    assert rollouts.rollout_rewards(tasks, outcomes, "id", outside="drop").count() == 4
+    assert rollouts.rollout_rewards(tasks, outcomes, "id", outside="keep").count() == 8

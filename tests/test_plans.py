@@ -161,7 +161,7 @@ def test_other_failure_drops_the_whole_topic(spark, small, folder):
 
 def test_evaluation_takes_the_first_by_question(spark, small, folder):
     qra = view(spark, small, "qra")
-    judged = evaluation.evaluate_records(qra, M.model(M.Solver), M.model(M.AnswerJudge), folder)
+    judged = evaluation.evaluate_records(qra, M.model(M.Solver), M.model(M.AnswerJudge), folder, limit=12)
     first = qra.orderBy("question", "qa_key").limit(12)
     assert keys(judged) == keys(view(spark, small, "solve_results").join(first, "qa_key", "left_semi"))
     results, summary = evaluation.evaluation_report(judged, folder)
@@ -177,7 +177,7 @@ def test_evaluation_of_nothing(spark, small, folder):
 def test_exam_set_takes_topics_in_input_order(spark, small, folder):
     topics = view(spark, small, "topics")
     made = exam_set.exam_set(
-        topics, view(spark, small, "exam_candidates"), M.model(M.Usefulness), F.lit("img"), folder)
+        topics, view(spark, small, "exam_candidates"), M.model(M.Usefulness), F.lit("img"), folder, max_topics=30)
     first = topics.orderBy("file_pos", "topic_pos").limit(30)
     wanted = view(spark, small, "exam_table").join(first, "topic_key", "left_semi")
     assert keys(made, "topic_key") == keys(wanted, "topic_key")
@@ -233,3 +233,18 @@ def test_texts_are_shuffled_once(spark, small, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert plan.count("Exchange") == 2
+
+
+def test_repeated_package_ids_count_once(spark):
+    import datetime as dt
+    when = dt.datetime(2024, 8, 1)
+    crate = lambda i, repo: (i, f"n{i}", when, repo, "d" * 20, "doc", "home", "r" * 200)
+    crates = spark.createDataFrame(
+        [crate(1, "r1"), crate(1, "r2"), crate(2, "r3"), crate(3, "r4")],
+        "id long, name string, created_at timestamp, repository string, description string, documentation string, homepage string, readme string")
+    downloads = spark.createDataFrame([(1, 5)], "crate_id long, downloads long")
+    versions = spark.createDataFrame([(20, 2), (21, 2), (30, 3)], "id long, crate_id long")
+    dependencies = spark.createDataFrame([(20, 1), (21, 1), (30, 1), (30, 2)], "version_id long, crate_id long")
+    best = trending.trending_packages(crates, downloads, dependencies, versions)
+    assert sorted((r.name, r.repository, r.direct_dependant_count) for r in best.collect()) == [
+        ("n1", "r1", 2), ("n1", "r2", 2), ("n2", "r3", 1), ("n3", "r4", 0)]

@@ -17,8 +17,11 @@ FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthC
 EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 moments = st.datetimes(dt.datetime(1900, 1, 1), dt.datetime(2100, 1, 1))
-offsets = st.sampled_from(["", "Z", "+00", "-07", "+0530", "-03:30"])
-layouts = st.sampled_from(["%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f"])
+offsets = st.sampled_from(["", "Z", "+00", "-07", "+0530", "-03:30", "+01:02:03"])
+layouts = st.sampled_from([
+    "%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H", "%Y-%m-%d_%H:%M:%S,%f",
+    "%Y-%m-%d %H:%M:%S.%f789", "%Y%m%dT%H%M%S", "%Y%m%dT%H%M", "%G-W%V-%uT%H:%M", "%GW%V%uT%H",
+])
 
 
 @FEW
