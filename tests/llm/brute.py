@@ -67,3 +67,75 @@ def without_repeats(rows, length=50):
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         out[i] = (len(text), sum(gone), spans, bytes(b for b, g in zip(text, gone) if not g))
     return out
+
+
+def contamination(rows, items, window=10):
+    """{id: (words, hit words, sorted item ids, any hit)}."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(text):
+        return WORD10.findall((text or "").translate(lower))
+    windows = defaultdict(set)
+    for item, text in items:
+        w = words(text)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            windows[tuple(w[i:i + n])].add(item)
+    out = {}
+    for i, text in rows:
+        w = words(text)
+        hit, found = set(), set()
+        for n in {len(x) for x in windows}:
+            for a in range(len(w) - n + 1):
+                owners = windows.get(tuple(w[a:a + n]))
+                if owners:
+                    hit.update(range(a, a + n))
+                    found |= owners
+        out[i] = (len(w), len(hit), tuple(sorted(str(x) for x in found if x is not None)), bool(hit))
+    return out
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def spark_hash(words):
+    """xxhash64 of a string with the seed that the SQL function has."""
+    import xxhash
+    return xxhash.xxh64_intdigest(words.encode(), 42)
+
+
+def dropped_lines(rows):
+    """{id: (lines with a word, numbers of dropped ones)}."""
+    import regex
+    lines = []
+    for i, text in rows:
+        for at, line in enumerate((text or "").split("\n")):
+            value = regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
+            if value:
+                lines.append((i, at, value))
+    values = sorted({v for _, _, v in lines})
+    sims = {}
+    for v in values:
+        words = v.split(" ")
+        hashes = [spark_hash(w) for w in words]
+        sims[v] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(words))
+    edges = []
+    for k, a in enumerate(values):
+        for b in values[k + 1:]:
+            if bin(sims[a] ^ sims[b]).count("1") <= 3 and min(len(a), len(b)) >= 0.9 * max(len(a), len(b)):
+                if edit_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
+                    edges.append((a, b))
+    label = smallest_reachable(values, edges)
+    first, out = {}, {}
+    for i, at, v in sorted(lines):
+        n, gone = out.setdefault(i, (0, []))
+        if first.setdefault(label[v], (i, at)) != (i, at):
+            gone.append(at)
+        out[i] = (n + 1, gone)
+    return out
