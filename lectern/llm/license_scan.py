@@ -82,7 +82,8 @@ def known_sentences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     table = docs.sparkSession.createDataFrame(
         [(words, name) for name, wordings in SENTENCES.items() for words in wordings], "words string, sentence string")
     row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    sentences = docs.select(row.alias("row"), F.posexplode(F.split(F.lower(F.col(text_col).cast("string")), _ENDS)).alias("pos", "raw"))
+    cut = docs.select(row.alias("row"), F.split(F.lower(F.col(text_col).cast("string")), _ENDS).alias("all"))
+    sentences = cut.select("row", F.posexplode("all").alias("pos", "raw"))
     words = F.trim(F.regexp_replace("raw", _NO_WORD, " "))
     return sentences.select("row", "pos", words.alias("words")).join(
         F.broadcast(table), "words").select("row", "pos", "sentence")
