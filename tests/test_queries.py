@@ -1,13 +1,12 @@
-"""Every registered query against its DuckDB SQL at the smallest scale."""
+"""Every query of the library's operators against its DuckDB SQL at the smallest scale."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from standins.queries import ORACLES, QUERIES
 from standins.views import TABLES
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(small):
@@ -46,3 +45,10 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
+def test_no_query_plans_a_cross_join(spark, small):
+    for name in ("problem_markdown", "accuracy_summary", "rollout_rewards", "group_advantage", "exam_set", "solve_rate"):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
