@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.scratch import stored, with_keys
+from lectern.llm.scratch import discard, stored, with_keys
 from lectern.operators.relational import join_per_key
 
 PIVOT_ROUNDS = 2
@@ -47,6 +47,7 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         after = stored(
             merged.join(jump, "best").select("node", "label", F.col("further").alias("now")), "labels"
         )
+        discard(told, merged)
         moved = after.where("now <> label").limit(1).count()
         labels = after.select("node", F.col("now").alias("label"))
         if not moved:
@@ -94,8 +95,10 @@ def list_links(
         left = met.where("node <> b").join(better, F.col("node") == F.col("known"), "left").select(
             *columns, F.coalesce("better", "node").alias("label"))
         left = stored(left, "left")
+        discard(met, rest)
         mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         rest = stored(join_per_key(left, mixed, "key"), "lists")
+        discard(left)
         if rest.isEmpty():
             return found
     one = rest.select("key", *side(rest, "a"), F.col("label").alias("a_label"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.relational import join_per_key
-from lectern.session import fresh_path
+from lectern.session import fresh_path, hadoop_path, shared_dir
 
 #: Key tables of more rows than this are not broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -25,6 +25,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        own = f"{shared_dir(spark)}/lectern/"
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            fs, target = hadoop_path(spark, folder)
+            if own.split("://")[-1].strip("/") in folder:
+                fs.delete(target, True)
+
+
 def need(df: DataFrame, columns: Sequence[str]) -> None:
     """Stop with a message when an input lacks a column."""
     missing = [name for name in columns if name not in df.columns]
