@@ -949,7 +949,7 @@ where length(concat('{texts.DEFAULT_SYSTEM_PROMPT}', chr(10), question, chr(10),
                     '<think>', reasoning, '</think>', answer)) <= 400""")
 def sft_dataset(spark, d):
     path = fresh_path(spark, "sft")
-    kept = training.training_set(view(spark, d, "qra"), "qa_key", 400, measure=F.length)
+    kept = training.training_set(view(spark, d, "qra"), "qa_key", 400, "drop", measure=F.length)
     training_sets.write_training_set(kept, path)
     return flat_messages(training_sets.read_training_set(spark, path))
 
