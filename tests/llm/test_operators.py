@@ -222,6 +222,40 @@ def test_lines_agree_with_a_plain_version(spark, docs, texts):
     assert got == brute.dropped_lines(some)
 
 
+def linked_lines(rows):
+    """{id: numbers of dropped lines} with edit similarity alone as the link; compares every pair."""
+    lines = [(i, at, line) for i, text in rows for at, line in enumerate(text.split("\n"))]
+    values = sorted({v for _, _, v in lines})
+    edges = [(a, b) for k, a in enumerate(values) for b in values[k + 1:]
+             if abs(len(a) - len(b)) <= 0.1 * max(len(a), len(b)) and len(set(a.split()) & set(b.split())) > 0
+             and brute.edit_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9)]
+    label = brute.smallest_reachable(values, edges)
+    first, out = {}, {i: [] for i, _ in rows}
+    for i, at, v in sorted(lines):
+        if first.setdefault(label[v], (i, at)) != (i, at):
+            out[i].append(at)
+    return out
+
+
+def test_lines_with_one_word_replaced_are_found(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 8))) for _ in range(3000)]
+    rows = []
+    for i, n in enumerate([10, 14, 20, 30, 40, 60] * 3):
+        words = [rng.choice(vocabulary) for _ in range(n)]
+        texts = [" ".join(words)]
+        for _ in range(2):
+            other = list(words)
+            at = rng.randrange(n)
+            other[at] = "x" * min(4, len(other[at]))
+            texts.append(" ".join(other))
+        rows += [(10 * i + k, f"{t}\nown line of {'abcdefghijklmnopqr'[i]} and {'uvw'[k]}{i * k}") for k, t in enumerate(texts)]
+    wanted = linked_lines(rows)
+    assert sum(0 in gone for gone in wanted.values()) >= 30
+    got = {r.row_id: r.dropped for r in dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
+
+
 def test_license_rules(spark):
     rows = [(1, "Licensed under the Apache License, Version 2.0.\nYou may not use this file except in compliance with the License."),
             (2, "x. Released under the MIT License!\nAll rights reserved."), (3, "all rights reserved"), (4, None), (5, ""), (6, "All rights. Reserved.")]
