@@ -1,14 +1,17 @@
 """License scan by sentence rules.
 
-A text is cut into sentences, which are reduced to lower-case words.  Known
-licence sentences have identifiers; a document becomes the sequence of the
-identifiers found, in order.  Rules are tried in their order: one that finds its
+A text is reduced to lower-case words, so that line breaks, comment markers and
+other punctuation are blanks; only a stop before white space or the end parts
+two sentences.  Known licence sentences have identifiers and are looked for as
+runs of words within a sentence, the longest first; a document becomes the
+sequence of the identifiers found, in order.  Rules are tried in their order: one that finds its
 identifiers next to each other in what is left of the sequence names its licence
 and uses them up, as often as they occur.  Specific rules come before those that
 are part of them.
 
 Null and empty texts, and texts without a known sentence, have no licence and an
-empty sequence.  Rows that repeat as a whole are scanned once each.
+empty sequence.  The SQL form knows `SENTENCES` and `RULES` alone, as whole
+sentences on one line.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.scratch import need
@@ -67,35 +70,66 @@ RULES: Sequence[tuple[str, tuple[str, ...]]] = (
     ("CC-BY-4.0", ("CCBYRef",)),
     ("All-Rights-Reserved", ("AllRights",)),
 )
-#: A sentence ends at a line end, or at a stop before white space or the end.
-_ENDS = r"[.!?]+(?:[ \t\r]+|$)|\n|[.!?]+\n"
-_NO_WORD = r"[^a-z0-9]+"
+#: Further wordings and sentences, as they are in licence texts and file headers.
+MORE_SENTENCES: Mapping[str, tuple[str, ...]] = {
+    "ApacheRef": ("under the apache license version 2 0", "under the apache license 2 0", "spdx license identifier apache 2 0"),
+    "ApacheCopy": ("you may obtain a copy of the license at https www apache org licenses license 2 0",),
+    "MITRef": ("under the mit license", "spdx license identifier mit"),
+    "BSDEndorse": ("nor the names of its contributors may be used to endorse or promote products derived from this software "
+                   "without specific prior written permission",),
+    "GPL3Ref": ("under the gnu general public license version 3", "spdx license identifier gpl 3 0 only"),
+    "GPL2Ref": ("under the gnu general public license version 2", "spdx license identifier gpl 2 0 only"),
+    "GPLFree": ("spdx license identifier gpl 3 0 or later",),
+    "GPL2Free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+                 "public license as published by the free software foundation either version 2 of the license or at your option "
+                 "any later version", "spdx license identifier gpl 2 0 or later"),
+    "LGPLFree": ("it under the terms of the gnu lesser general public license as published by the free software foundation either "
+                 "version 2 1 of the license or at your option any later version", "spdx license identifier lgpl 2 1 or later"),
+    "AGPLFree": ("it under the terms of the gnu affero general public license as published by the free software foundation either "
+                 "version 3 of the license or at your option any later version", "spdx license identifier agpl 3 0 or later"),
+    "MPLRef": ("this source code form is subject to the terms of the mozilla public license v 2 0", "spdx license identifier mpl 2 0"),
+    "ISCGrant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+                 "granted provided that the above copyright notice and this permission notice appear in all copies",
+                 "spdx license identifier isc"),
+    "Unlicense": ("this is free and unencumbered software released into the public domain",),
+}
+#: Their rules, tried after the others.
+MORE_RULES: Sequence[tuple[str, tuple[str, ...]]] = (
+    ("GPL-2.0-or-later", ("GPL2Free",)),
+    ("LGPL-2.1-or-later", ("LGPLFree",)),
+    ("AGPL-3.0-or-later", ("AGPLFree",)),
+    ("MPL-2.0", ("MPLRef",)),
+    ("ISC", ("ISCGrant",)),
+    ("Unlicense", ("Unlicense",)),
+)
+#: A stop before white space or the end.
+_ENDS = r"[.!?]+(?=\s|$)"
+_END = "\x01"
+_NO_WORD = r"[^a-z0-9\x01]+"
 
 
 def _pattern(ids: Sequence[str]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
-def known_sentences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row, pos, sentence (identifier) of each known sentence."""
-    # The table is a constant of the program; Spark broadcasts it by its size.
-    table = docs.sparkSession.createDataFrame(
-        [(words, name) for name, wordings in SENTENCES.items() for words in wordings], "words string, sentence string")
-    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    cut = docs.select(row.alias("row"), F.split(F.lower(F.col(text_col).cast("string")), _ENDS).alias("all"))
-    sentences = cut.select("row", F.posexplode("all").alias("pos", "raw"))
-    words = F.trim(F.regexp_replace("raw", _NO_WORD, " "))
-    return sentences.select("row", "pos", words.alias("words")).join(
-        F.broadcast(table), "words").select("row", "pos", "sentence")
+def known_sentences(text: Column) -> Column:
+    """The identifiers of the known sentences in a text, in order; null for a null text."""
+    names = {words: name for table in (SENTENCES, MORE_SENTENCES) for name, wordings in table.items() for words in wordings}
+    longest = sorted(names, key=lambda words: (-len(words), words))
+    words = F.regexp_replace(F.regexp_replace(F.lower(text), _ENDS, f" {_END} "), _NO_WORD, " ")
+    runs = F.regexp_extract_all(words, F.lit(rf"(?<![^ ])({'|'.join(longest)})(?![^ ])"), F.lit(1))
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.transform(runs, lambda run: table[run])
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row_id, sequence (identifiers in order), licenses (in rule order) for every row."""
     need(docs, [id_col, text_col])
-    found = known_sentences(docs, id_col, text_col).distinct().groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("found")).select(
-        "row", F.transform("found", lambda x: x["sentence"]).alias("sequence"))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_pattern(ids)).alias("pattern")) for name, ids in RULES])
+    # What an explode gives is computed once, however often it is used.
+    found = docs.select(
+        F.col(id_col).cast("long").alias("row_id"),
+        F.explode(F.array(F.coalesce(known_sentences(F.col(text_col).cast("string")), F.array().cast("array<string>")))).alias("sequence"))
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_pattern(ids)).alias("pattern")) for name, ids in (*RULES, *MORE_RULES)])
     start = F.struct(F.array_join(F.transform("sequence", lambda s: F.concat(F.lit("<"), s, F.lit(">"))), "").alias("rest"),
                      F.array().cast("array<string>").alias("names"))
     matched = F.aggregate(
@@ -105,12 +139,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.struct(F.replace(acc["rest"], rule["pattern"], F.lit("|")).alias("rest"),
                      F.array_append(acc["names"], rule["name"]).alias("names"))).otherwise(acc),
         lambda acc: F.array_distinct(acc["names"]))
-    scanned = found.select("row", "sequence", matched.alias("licenses"))
-    rows = docs.select(F.col(id_col).cast("long").alias("row_id"),
-                       F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")).alias("row"))
-    none = F.array().cast("array<string>")
-    return rows.join(scanned, "row", "left").select(
-        "row_id", F.coalesce("sequence", none).alias("sequence"), F.coalesce("licenses", none).alias("licenses"))
+    return found.select("row_id", "sequence", matched.alias("licenses"))
 
 
 def license_scan_sql(table: str = "documents") -> str:

@@ -264,6 +264,49 @@ def test_license_rules(spark):
                    3: (["AllRights"], ["All-Rights-Reserved"]), 4: ([], []), 5: ([], []), 6: ([], [])}
 
 
+def test_license_headers_that_are_wrapped(spark):
+    mit = """# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction, including without limitation the rights
+# to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+# copies of the Software, and to permit persons to whom the Software is
+# furnished to do so, subject to the following conditions:
+#
+# The above copyright notice and this permission notice shall be included in all
+# copies or substantial portions of the Software."""
+    apache = """ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+3. Neither the name of Example Corp nor the names of its contributors may
+   be used to endorse or promote products derived from this software without
+   specific prior written permission."""
+    gpl = """// This program is free software; you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation; either version 2 of the License, or
+// (at your option) any later version."""
+    wanted = {
+        mit: (["MITGrant", "MITNotice"], ["MIT"]),
+        apache: (["ApacheRef", "ApacheUse", "ApacheCopy", "ApacheAsIs"], ["Apache-2.0"]),
+        bsd: (["BSDGrant", "BSDEndorse"], ["BSD-3-Clause"]),
+        gpl: (["GPL2Free"], ["GPL-2.0-or-later"]),
+        "The code is released under the MIT License.": (["MITRef"], ["MIT"]),
+        "Not under the MIT. License to all rights reservedly": ([], []),
+        "// SPDX-License-Identifier: MPL-2.0\n": (["MPLRef"], ["MPL-2.0"]),
+    }
+    rows = list(enumerate(wanted))
+    got = {r.row_id: (r["sequence"], r.licenses) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(wanted.values()))
+
+
 def test_language_accuracy_on_held_out_rows(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = identify(docs).join(docs.select("doc_id", "lang"), F.col("row_id") == F.col("doc_id")).collect()
