@@ -15,8 +15,9 @@ from lectern.llm.decontamination import contamination
 from lectern.llm.jaccard_join import jaccard_components, light_boundary, light_links, linkable_sets
 from lectern.llm.language_id import identify
 from lectern.llm.license_scan import license_scan
-from lectern.llm.line_dedup import dropped_lines, without_lines
+from lectern.llm.line_dedup import dropped_lines, first_copies, line_signatures, without_lines, word_lines
 from lectern.llm.mixing import mixed, source_targets
+from lectern.llm.scratch import stored
 from lectern.llm.suffix_dedup import without_repeats
 from lectern.llm.suffix_order import suffix_array
 from lectern.llm.token_counts import PieceMerger, token_counts
@@ -256,6 +257,18 @@ def test_lines_with_one_word_replaced_are_found(spark):
     assert got == wanted
 
 
+def test_repeated_rows_do_not_change_signatures(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = spark.createDataFrame([(1, text)] * 3 + [(None, "other " + text)] * 2, "doc_id long, text string")
+    once = {r.node: r.sim for r in line_signatures(word_lines(rows.distinct(), "doc_id", "text")).collect()}
+    lines = first_copies(stored(word_lines(rows, "doc_id", "text"), "lines"))
+    assert sorted((r.node, r.sim) for r in line_signatures(lines).collect()) == sorted(once.items())
+    near = text.replace("word7 ", "word8 ")
+    both = rows.union(spark.createDataFrame([(2, near + "\nmine alone")], rows.schema))
+    got = {r.row_id: (r.n_lines, r.dropped) for r in dropped_lines(both).collect()}
+    assert got == {1: (1, []), 2: (2, [0]), None: (1, [0])}
+
+
 def test_license_rules(spark):
     rows = [(1, "Licensed under the Apache License, Version 2.0.\nYou may not use this file except in compliance with the License."),
             (2, "x. Released under the MIT License!\nAll rights reserved."), (3, "all rights reserved"), (4, None), (5, ""), (6, "All rights. Reserved.")]
