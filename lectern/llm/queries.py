@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from lectern.llm.jaccard_join import jaccard_components
 from lectern.llm.language_id import identify
 from lectern.llm.license_scan import license_scan, license_scan_sql
 from lectern.llm.line_dedup import dropped_lines
+from lectern.llm.merkle import build_manifest, leaf_digest, manifest_sql, proofs
 from lectern.llm.mixing import mixed, mixing_sql
 from lectern.llm.quality import quality_scores
 from lectern.llm.suffix_dedup import without_repeats
@@ -83,6 +85,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tampered leaf of a row differs in the case of its text alone."""
+    docs = _table(spark, sf_dir, "documents")
+    about = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    manifest = build_manifest(
+        docs, leaf_digest(*about, F.col("text")), F.when(tampered, leaf_digest(*about, lowered)))
+    return proofs(manifest).withColumnRenamed("row_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_quality": op2_quality,
@@ -94,12 +107,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_search": op8_vector_search,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing_sql(),
     "op7_license_scan": license_scan_sql(),
     "op10_decontamination": contamination_sql(),
+    "op12_merkle_manifest": manifest_sql(),
     "op8_vector_search": """
 with v as (
   select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as t
