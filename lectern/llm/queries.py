@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from lectern.llm.license_scan import license_scan, license_scan_sql
 from lectern.llm.line_dedup import dropped_lines
 from lectern.llm.merkle import build_manifest, leaf_digest, manifest_sql, proofs
 from lectern.llm.mixing import mixed, mixing_sql
+from lectern.llm.packing import packed
+from lectern.llm.periodic_runs import periodic_runs
 from lectern.llm.quality import quality_scores
 from lectern.llm.suffix_dedup import without_repeats
 from lectern.llm.token_counts import token_counts
@@ -85,6 +88,40 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def loop_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document, by its id's checksum, repeat from some place on."""
+    h = crc32(b"" if doc_id is None else str(doc_id).encode())
+    n = len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_table(spark, sf_dir, "documents"), rewrite=loop_words)
+    # The greatest length, then the smallest start and period.
+    order = F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = F.array_max(order)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select("*", best.alias("best")).select(
+        F.col("row_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packed(_table(spark, sf_dir, "documents"), tokenizer, end_id=2).withColumnRenamed("row_id", "doc_id")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tampered leaf of a row differs in the case of its text alone."""
     docs = _table(spark, sf_dir, "documents")
@@ -107,7 +144,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_search": op8_vector_search,
     "op9_language_id": op9_language_id,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {

@@ -142,3 +142,29 @@ def dropped_lines(rows):
             gone.append(at)
         out[i] = (n + 1, gone)
     return out
+
+
+def lyndon_lengths(symbols):
+    """Length of the longest Lyndon word at each place: up to the next smaller suffix."""
+    out = []
+    for i in range(len(symbols)):
+        j = i + 1
+        while j < len(symbols) and symbols[i:] < symbols[j:]:
+            j += 1
+        out.append(j - i)
+    return out
+
+
+def periodic_runs(words, shortest=6, copies=4):
+    """(start, length, period) of all runs, by trying every period."""
+    found = {}
+    for p in range(1, len(words) // copies + 1):
+        i = 0
+        while i + p < len(words):
+            j = i
+            while j + p < len(words) and words[j] == words[j + p]:
+                j += 1
+            if j - i + p >= max(shortest, copies * p):
+                found.setdefault((i, j - i + p), p)
+            i = max(j, i + 1)
+    return sorted(((s, n, p) for (s, n), p in found.items()), key=lambda r: (r[0], r[2]))

@@ -30,7 +30,7 @@ def texts(spark, small):
 
 def test_all_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in driver.queries() if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in driver.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in driver.queries()
     assert set(ORACLES) <= set(driver.oracle_sql())
 
 
