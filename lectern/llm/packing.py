@@ -30,13 +30,14 @@ may have any name.  A text of any length is encoded whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -46,15 +47,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.scratch import need, stored
+from lectern.llm.words import byte_texts
 
 WINDOW = 4096
 #: Largest block that is filled by triples.
 TRIPLES_UP_TO = 512
 SOLVER_ROUNDS = 400
-#: Chunks of a text between blanks that are remembered: their length and number.
-REMEMBERED_LENGTH, REMEMBERED = 64, 300_000
+#: Bytes of chunks that are remembered from batch to batch.
+REMEMBERED = 6_000_000
+
+#: Fresh words that are encoded as one text, and the stops that may follow a word.
+TOGETHER, STOPS = 256, ".,;:!?"
 
-_BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _RANK_BITS = 37
 
 
@@ -64,6 +68,10 @@ class TextEncoder:
     It is the same if the tokenizer drops white space and joins nothing across
     it: then a text is the sequence of its chunks between blanks, and chunks that
     occur often are encoded once.  Any other tokenizer gets whole texts.
+
+    Where each word's last token is marked as such, new words of letters alone
+    are handed over as one text and told apart by these marks; stops after a
+    word are a chunk of their own.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -71,13 +79,18 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.by_chunk = self._drops_blanks()
-        self.known: dict[str, bytes] = {}
-
-    def _drops_blanks(self) -> bool:
-        import json
-
         parts = json.loads(self.tokenizer.to_str())
+        self.by_chunk = self._drops_blanks(parts)
+        mark = parts["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if mark:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    @staticmethod
+    def _drops_blanks(parts: dict) -> bool:
         normalizer = parts.get("normalizer") or {}
         steps = normalizer.get("normalizers", [normalizer])
         splitter = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
@@ -90,23 +103,60 @@ class TextEncoder:
             and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"]
                         for t in parts.get("added_tokens", [])))
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4") for e in encoded]
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of each of these words of letters."""
+        if not self.ends.any():
+            yield from (ids.tobytes() for ids in self._ids(words))
+            return
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(group):
+                data, stops = ids.tobytes(), (4 * last).tolist()
+                yield from (data[a:b] for a, b in zip([0, *stops], stops))
+            else:  # the library sees other characters than letters
+                yield from (own.tobytes() for own in self._ids(group))
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Note the ids of chunks that are not known yet."""
+        texts = b"\n".join(chunks).decode("utf-8", "replace").split("\n")
+        letters = list(map(str.isalpha, texts))
+        self.known.update(zip(compress(chunks, letters), self._words(list(compress(texts, letters)))))
+        others, stopped, stems = [], [], {}
+        for chunk, text in compress(zip(chunks, texts), [not x for x in letters]):
+            stem = text.rstrip(STOPS)
+            if stem.isalpha():
+                cut = len(stem) - len(text)  # stops are single bytes
+                stopped.append((chunk, cut))
+                if chunk[:cut] not in self.known:
+                    stems[chunk[:cut]] = stem
+                if chunk[cut:] not in self.known:
+                    self.known[chunk[cut:]] = self._ids([text[cut:]])[0].tobytes()
+            else:
+                others.append((chunk, text))
+        self.known.update(zip(stems, self._words(list(stems.values()))))
+        for chunk, cut in stopped:
+            self.known[chunk] = self.known[chunk[:cut]] + self.known[chunk[cut:]]
+        for (chunk, _), ids in zip(others, self._ids([t for _, t in others]), strict=True):
+            self.known[chunk] = ids.tobytes()
+        self.held += sum(map(len, chunks))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, 32-bit little endian."""
         if not self.by_chunk:
-            return self._ids(texts)
-        split = [_BLANKS.split(t) for t in texts]
-        fresh = [c for c in dict.fromkeys(chain.from_iterable(split)) if c not in self.known]
-        passing = {}
-        for chunk, ids in zip(fresh, self._ids(fresh), strict=True):
-            (self.known if len(chunk) <= REMEMBERED_LENGTH else passing)[chunk] = ids
-        look = self.known.__getitem__ if not passing else {**self.known, **passing}.__getitem__
-        out = [b"".join(map(look, chunks)) for chunks in split]
-        if len(self.known) > REMEMBERED:
+            return [ids.tobytes() for ids in self._ids([t.decode("utf-8", "replace") for t in texts])]
+        split = [t.split() for t in texts]
+        fresh = list(set().union(*split).difference(self.known))
+        if fresh:
+            self._learn(fresh)
+        out = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+        if self.held > REMEMBERED:
             self.known.clear()
+            self.held = 0
         return out
 
 
@@ -358,7 +408,8 @@ def _encoded(docs: DataFrame, tokenizer_file: str, end_id: int, window: int, id_
             for at in range(0, batch.num_rows, 200):
                 some = batch.slice(at, 200)
                 rows = []
-                for row_id, ids in zip(some.column(0).to_pylist(), encoder.encode([t or "" for t in some.column(1).to_pylist()]), strict=True):
+                texts = [t or b"" for t in byte_texts(some.column(1))]
+                for row_id, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
                     ids += end
                     n = len(ids) // 4
                     rest = n % window
