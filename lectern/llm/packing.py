@@ -54,10 +54,10 @@ WINDOW = 4096
 TRIPLES_UP_TO = 512
 SOLVER_ROUNDS = 400
 #: Bytes of chunks that are remembered from batch to batch.
-REMEMBERED = 6_000_000
+REMEMBERED = 3_000_000
 
 #: Fresh words that are encoded as one text, and the stops that may follow a word.
-TOGETHER, STOPS = 256, ".,;:!?"
+TOGETHER, STOPS = 256, "!#$%&()*+,-./:;=?@_{|}~"
 
 _RANK_BITS = 37
 
@@ -150,12 +150,14 @@ class TextEncoder:
         if not self.by_chunk:
             return [ids.tobytes() for ids in self._ids([t.decode("utf-8", "replace") for t in texts])]
         split = [t.split() for t in texts]
-        fresh = list(set().union(*split).difference(self.known))
+        used = set().union(*split)
+        fresh = list(used.difference(self.known))
         if fresh:
             self._learn(fresh)
         out = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
         if self.held > REMEMBERED:
-            self.known.clear()
+            # What has just been used is likely to come again.
+            self.known = {chunk: self.known[chunk] for chunk in used}
             self.held = 0
         return out
 
