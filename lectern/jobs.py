@@ -18,12 +18,14 @@ from pyspark.sql import types as T
 
 from lectern import schemas as S
 from lectern.operators.metrics import accuracy_text
+from lectern.operators.model_stage import AnswerStore
 from lectern.operators.positions import with_position
 from lectern.operators.records import as_prompt_completion, solve_results
 from lectern.plans import evaluation, synthesis, training, trending
 from lectern.plans import exam_set as exam_plan
 from lectern.session import apply_runtime_settings
 from lectern.sources import corpus, csv_tables, json_records, training_sets
+from lectern.sources.identity import Files
 from lectern.sources.stages import stage_once
 
 KEYED_QRA = T.StructType([T.StructField("qa_key", T.StringType(), False), *S.QRA.fields])
@@ -35,6 +37,10 @@ def load_model(spark: SparkSession, spec: str) -> Mapping:
     return found if isinstance(found, Mapping) else found(spark)
 
 
+def answer_store(args: argparse.Namespace) -> AnswerStore | None:
+    return AnswerStore(args.answers) if args.answers else None
+
+
 def load_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """Records with a ``qa_key``: our own lines, or documents ``{"problems": [...]}``.
 
@@ -68,12 +74,12 @@ def synthesise(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     ]
     # One pass over the small files; later steps read only the columns they need.
     texts = stage_once(
-        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents)
+        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents), [Files(spark, (args.documents,))]
     )
     order = with_position(texts.select("file_path"), ["file_path"], f"{args.work}/files", "file_pos")
     made = synthesis.qra_records(
         texts.join(order, "file_path"), synthesis.SynthesisModels(*steps), args.work,
-        args.max_topics, args.batch_size, args.concurrency,
+        args.max_topics, args.batch_size, args.concurrency, answer_store(args),
     )
     json_records.save_json_lines(made.select(*KEYED_QRA.names), args.out)
     return made
@@ -105,7 +111,7 @@ def evaluate(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     model = load_model(spark, args.model)
     judged = evaluation.evaluate_records(
         load_records(spark, args.records, args.layout), model["answer_questions"],
-        model["judge_answers"], args.work, args.limit, args.concurrency,
+        model["judge_answers"], args.work, args.limit, args.concurrency, answer_store(args),
     )
     results, summary = evaluation.evaluation_report(judged, args.work)
     json_records.save_json_lines(solve_results(results), args.out)
@@ -116,7 +122,7 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     model = load_model(spark, args.model)
     report = evaluation.verification_report(
         load_records(spark, args.records, args.layout), model["verify_records"], args.work,
-        args.concurrency,
+        args.concurrency, answer_store(args),
     )
     json_records.save_json_lines(report, args.out)
     return report.groupBy("status").count()
@@ -157,6 +163,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--model", required=True)
             sub.add_argument("--work", required=True)
             sub.add_argument("--concurrency", type=int)
+            sub.add_argument("--answers", help="folder of answers kept from run to run")
         if records:
             sub.add_argument("--records", required=True)
             sub.add_argument("--layout", choices=["documents", "lines"], default="documents")

@@ -15,15 +15,12 @@ from lectern import schemas as S
 from lectern.functions.nested import first_content, last_content
 from lectern.functions.structured import fail_unless, parse_structured
 from lectern.functions.text import render_prompt
-from lectern.operators.model_stage import CallableModel, RecordedModel, run_model
+from lectern.operators.model_stage import AnswerStore, CallableModel, RecordedModel, run_model
 from lectern.operators.relational import explode_with_parent
 from lectern.sources.stages import stage_once
 
 Model = CallableModel | RecordedModel
 
-# Path names that never hold material for learners.
-SKIPPED_PATHS = r"(?i)(^|/)(contributing|code[_-]of[_-]conduct|changelog|changes|license)(\.[a-z]+)?$"
-
 SELECT_DOCUMENT = """\
 Decide whether this documentation file helps somebody learn to use the library.
 Guides for contributors, rules of conduct and lists of changes do not.
@@ -106,9 +103,15 @@ def ask(
     path: str,
     concurrency: int | None = None,
     keep: list[str] | None = None,
+    store: AnswerStore | None = None,
 ) -> DataFrame:
     """One typed model step, written to ``path``.
 
+    The step is made from the kept columns, the prompts, the model and the
+    response type: a table under ``path`` that was made from anything else is
+    made again.  ``store``, if given, then still has the answers to all prompts
+    that are the same.
+
     The written table holds the ``keep`` columns of the input (all by default),
     the response fields (null after a failure), ``attempts``, ``error`` and
     ``error_kind``; a response of the wrong type is the error kind ``invalid``.
@@ -116,7 +119,7 @@ def ask(
     kept = df.columns if keep is None else keep
 
     def build() -> DataFrame:
-        answered = run_model(df, key, prompt, model, concurrency)
+        answered = run_model(df, key, prompt, model, concurrency, store)
         read = parse_structured(answered, "response", schema, "__parsed", "__valid")
         wrong = F.col("error").isNull() & ~F.col("__valid")
         return read.select(
@@ -128,7 +131,8 @@ def ask(
             F.when(wrong, F.lit("invalid")).otherwise(F.col("error_kind")).alias("error_kind"),
         )
 
-    return stage_once(df.sparkSession, path, build)
+    asked = df.select(*kept, prompt.alias("__prompt"))
+    return stage_once(df.sparkSession, path, build, [asked, model, schema])
 
 
 def drop_audit(df: DataFrame) -> DataFrame:
@@ -136,15 +140,26 @@ def drop_audit(df: DataFrame) -> DataFrame:
 
 
 def select_documents(
-    docs: DataFrame, model: Model, path: str, template: str = SELECT_DOCUMENT, **options
+    docs: DataFrame,
+    model: Model,
+    path: str,
+    template: str = SELECT_DOCUMENT,
+    skip: str | None = None,
+    **options,
 ) -> DataFrame:
     """Judge each document by its path; adds ``is_useful``.
 
-    Paths that are out by name cost no call and are left out.
+    Every document is judged by the model.  Paths that match the pattern
+    ``skip``, if given, cost no call: they are kept as not useful, with no attempt.
     """
-    worth_asking = docs.where(~F.col("file_path").rlike(SKIPPED_PATHS))
     prompt = render_prompt(template, file_path="file_path", key="file_path")
-    return ask(worth_asking, "file_path", prompt, S.DOCUMENT_CHOICE, model, path, **options)
+    if skip is None:
+        return ask(docs, "file_path", prompt, S.DOCUMENT_CHOICE, model, path, **options)
+    out = F.coalesce(F.col("file_path").rlike(skip), F.lit(False))
+    judged = ask(docs.where(~out), "file_path", prompt, S.DOCUMENT_CHOICE, model, path, **options)
+    named = docs.where(out).withColumns({
+        "is_useful": F.lit(False), "attempts": F.lit(0), "error": F.lit(None).cast("string"), "error_kind": F.lit(None).cast("string")})
+    return judged.unionByName(named.select(*judged.columns))
 
 
 def extract_topics(

@@ -5,20 +5,24 @@ and need no join to be found again.  A stage is a job with outside effects, so
 callers write its result with ``stage_once`` and go on from the written table.
 """
 
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.scalars import generation_status
 from lectern.functions.structured import fail_unless
 from lectern.operators.relational import join_per_key
+from lectern.session import path_exists
+from lectern.sources.identity import digest
 
 RESPONSE_COLUMNS = ("response", "attempts", "error", "error_kind")
 _RESULT = "response string, attempts int, error string, error_kind string"
+_STORED = f"prompt_hash string, {_RESULT}, asked_by string"
 
 
 class ModelCallError(Exception):
@@ -36,6 +40,10 @@ class CallableModel:
     fail the others again.  No prompt is ever sent more than ``max_attempts``
     times.  ``batch_size`` prompts go into one
     call and ``threads`` calls run at a time in each task.
+
+    ``name`` tells models apart whose code does not: the model and version that
+    a server answers with.  Results and answers are kept under it; without one,
+    under the code of ``load`` and all it refers to.
     """
 
     load: Callable[[], Callable[[list[str]], list]]
@@ -43,6 +51,16 @@ class CallableModel:
     max_attempts: int = 1
     batch_size: int = 64
     threads: int = 1
+    name: str | None = None
+
+    @property
+    def identity(self) -> str:
+        """What answers of this model are kept under."""
+        return digest("name", self.name) if self.name else digest("code", self.load)
+
+    def __made_from__(self) -> list:
+        # How prompts are dealt to calls does not change an answer.
+        return [self.identity, self.retry_on, self.max_attempts]
 
 
 @dataclass(frozen=True)
@@ -54,6 +72,41 @@ class RecordedModel:
 
     responses: DataFrame
 
+    def __made_from__(self) -> list:
+        return [self.responses]
+
+
+@dataclass(frozen=True)
+class AnswerStore:
+    """A table of answers by model and prompt, kept from run to run.
+
+    ``path`` holds rows (prompt_hash, response, attempts, error, error_kind,
+    asked_by) in folders by model identity.  Only prompts without an answer are
+    sent, each once however many rows have it.  A task's answers are there as
+    soon as the task is done, whatever becomes of the job: ``prompts_per_task``
+    is what a stopped job may have to send again per running task.  Failures are
+    noted for the run that met them and asked again by the next.
+    """
+
+    path: str
+    prompts_per_task: int = 1000
+
+    def folder(self, model: CallableModel) -> str:
+        return f"{self.path}/model={model.identity}"
+
+    def answers(self, spark: SparkSession, model: CallableModel, run: str | None = None) -> DataFrame:
+        """One row per prompt hash: its answer, or what ``run`` failed with."""
+        folder = self.folder(model)
+        if not path_exists(spark, folder):
+            return spark.createDataFrame([], _STORED)
+        rows = spark.read.schema(_STORED).parquet(folder)
+        usable = rows.where(F.col("error").isNull() | F.col("asked_by").eqNullSafe(F.lit(run)))
+        # An answer goes before a failure, then text order decides between two runs.
+        order = F.struct(F.col("error").isNotNull().alias("failed"), F.col("response").isNull().alias("none"),
+                         "response", "attempts", "error", "error_kind")
+        best = usable.groupBy("prompt_hash").agg(F.min(order).alias("best"))
+        return best.select("prompt_hash", *[F.col(f"best.{c}").alias(c) for c in RESPONSE_COLUMNS])
+
 
 def _send(infer, prompts: list[str]) -> list:
     try:
@@ -115,6 +168,7 @@ def run_model(
     prompt: Column,
     model: CallableModel | RecordedModel,
     concurrency: int | None = None,
+    store: AnswerStore | None = None,
 ) -> DataFrame:
     """Add ``response``, ``attempts``, ``error`` and ``error_kind`` to each row.
 
@@ -123,7 +177,8 @@ def run_model(
     answer).  Rows are spread by ``key`` so that calls run on all task slots
     however the input files are cut.  ``concurrency`` sets the number of
     partitions: no more than that many tasks, each with the model's ``threads``,
-    have a call in flight.
+    have a call in flight.  With a ``store`` the calls are made at once, for the
+    prompts that have no answer in it, and the rows get their answers from it.
     """
     if isinstance(model, RecordedModel):
         hashed = df.withColumn("prompt_hash", F.sha2(prompt, 256))
@@ -139,11 +194,35 @@ def run_model(
             F.when(missing, F.lit("no recorded response")).alias("error"),
             F.when(missing, F.lit("missing")).alias("error_kind"),
         )
+    if store is not None:
+        return _stored_answers(df, prompt, model, concurrency, store)
     spread = df.repartition(key) if concurrency is None else df.repartition(concurrency, key)
     called = spread.withColumn("__call", _caller(model)(prompt))
     return called.select(*df.columns, *[F.col(f"__call.{c}").alias(c) for c in RESPONSE_COLUMNS])
 
 
+def _stored_answers(
+    df: DataFrame, prompt: Column, model: CallableModel, concurrency: int | None, store: AnswerStore
+) -> DataFrame:
+    """Ask what the store cannot answer, then answer every row from it."""
+    spark = df.sparkSession
+    hashed = df.withColumn("__prompt_hash", F.sha2(prompt, 256))
+    known = store.answers(spark, model).select(F.col("prompt_hash").alias("__prompt_hash"))
+    wanted = df.select(F.sha2(prompt, 256).alias("__prompt_hash"), prompt.alias("__prompt")).where("__prompt is not null")
+    fresh = wanted.join(known, "__prompt_hash", "left_anti").groupBy("__prompt_hash").agg(F.first("__prompt").alias("__prompt"))
+    run = uuid.uuid4().hex
+    tasks = concurrency
+    if tasks is None:
+        tasks = max(1, -(-fresh.count() // store.prompts_per_task))
+    asked = fresh.repartition(tasks, "__prompt_hash").withColumn("__call", _caller(model)(F.col("__prompt"))).select(
+        F.col("__prompt_hash").alias("prompt_hash"), *[F.col(f"__call.{c}").alias(c) for c in RESPONSE_COLUMNS],
+        F.lit(run).alias("asked_by"))
+    # Files of a finished task go to the table at once, not with the end of the job.
+    asked.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(store.folder(model))
+    answers = store.answers(spark, model, run).withColumnRenamed("prompt_hash", "__prompt_hash")
+    return join_per_key(hashed, answers, "__prompt_hash", "left").select(*df.columns, *RESPONSE_COLUMNS)
+
+
 def apply_error_policy(df: DataFrame, policy: str, group: str | None = None) -> DataFrame:
     """What becomes of rows with an error.
 

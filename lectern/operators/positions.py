@@ -29,7 +29,7 @@ def with_position(df: DataFrame, order_by: Sequence[str], path: str, name: str =
             .withColumn(local, F.monotonically_increasing_id())
         )
 
-    rows = stage_once(spark, path, placed)
+    rows = stage_once(spark, path, placed, [df, list(order_by)])
     starts = rows.groupBy(part).agg(
         F.count(F.lit(1)).alias("__rows"), F.min(local).alias("__first")
     )

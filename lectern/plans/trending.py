@@ -13,6 +13,7 @@ from lectern.functions.scalars import fill_numeric_nulls, longer_than
 from lectern.functions.timestamps import parse_iso_timestamp
 from lectern.operators import relational as R
 from lectern.sources.csv_tables import read_csv_lenient, read_csv_strict
+from lectern.sources.identity import Files
 from lectern.sources.stages import stage_once
 
 # Fixed values of the ranking.
@@ -47,6 +48,7 @@ def load_registry(
             lambda read=read, schema=schema, name=name: read(
                 spark, f"{folder}/{name}.csv", schema, multi_line=name not in splittable
             ),
+            [Files(spark, (f"{folder}/{name}.csv",)), read, schema, name in splittable],
         )
         for name, (read, schema) in readers.items()
     }

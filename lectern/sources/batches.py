@@ -1,4 +1,4 @@
-"""Resumable batches with progress after each one."""
+"""Resumable batches: a file stream over the input is the log of what is done."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.operators.positions import with_position
-from lectern.sources.stages import fingerprint, is_complete
+from lectern.session import path_exists
+from lectern.sources.identity import digest
 
 _BATCH = T.StructField("batch_id", T.IntegerType())
 
@@ -20,46 +21,57 @@ def checkpointed_batches(
     order_by: Sequence[str],
     batch_size: int,
     process: Callable[[DataFrame, str], DataFrame] | None = None,
+    made_from: Sequence[object] | None = None,
 ) -> DataFrame:
     """Process a table batch by batch and skip the batches already done.
 
     ``order_by`` must be a unique order; rows ``k * batch_size`` onwards form
-    batch k.  The numbered input is written once, split by batch, so each batch
-    reads only its own files.  A batch is one job and is done when its folder is
-    committed, also when it yields no rows; a restart goes on after the last
-    done one.  Choose a size that gives each job enough rows for the cluster.
-    ``process`` gets the batch and a folder for its own stages.  Everything lies
-    under a folder named for the input, the order and the batch size, so a run
-    on other input or with other batches starts anew.
+    batch k.  The numbered input is written once, one file per batch.  One
+    streaming query then takes the files that are there, one in a micro-batch,
+    and notes each in its checkpoint: a restart goes on with the first batch not
+    finished, and writes its results over what it left.  Batches follow one
+    another in the order in which their files were written.  A batch counts as
+    done also when it yields no rows.
+
+    ``process`` gets the rows of a batch and a folder for its own stages.
+    Everything lies under a folder named for the input, the order, the batch
+    size and what ``process`` does (``made_from``, by default its code with all
+    it refers to), so a run on other input, with other batches or another model
+    starts anew.
     """
     spark = df.sparkSession
-    path = f"{path}/{fingerprint(df, order=list(order_by), size=batch_size)[:16]}"
+    what = [process] if made_from is None else list(made_from)
+    path = f"{path}/{digest(df, list(order_by), batch_size, what)[:16]}"
+    schema = T.StructType([*df.schema.fields, _BATCH])
 
     def numbered() -> DataFrame:
         placed = with_position(df, order_by, f"{path}/ordered", "__pos")
         batch = F.floor(F.col("__pos") / F.lit(batch_size)).cast("int")
-        return placed.withColumn("batch_id", batch).drop("__pos")
+        # One task writes a batch, so that a batch is one file.
+        return placed.withColumn("batch_id", batch).drop("__pos").repartition("batch_id").withColumn("__folder", F.col("batch_id"))
 
     source_path, done_path = f"{path}/input", f"{path}/done"
-    if not is_complete(spark, source_path):
-        numbered().write.mode("overwrite").partitionBy("batch_id").parquet(source_path)
-    schema = T.StructType([*df.schema.fields, _BATCH])
-    source = spark.read.schema(schema).parquet(source_path)
+    if not path_exists(spark, f"{source_path}/_SUCCESS"):
+        numbered().write.mode("overwrite").partitionBy("__folder").parquet(source_path)
+
+    def work_off(rows: DataFrame, epoch: int) -> None:
+        # The query's own session; streams switch adaptive execution off.
+        rows.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        batch = rows.select(*df.columns)
+        result = batch if process is None else process(batch, f"{path}/work/{epoch}")
+        number = rows.agg(F.min("batch_id")).first()[0]
+        result.withColumn("batch_id", F.lit(number).cast("int")).write.mode("overwrite").parquet(f"{done_path}/epoch={epoch}")
 
-    last = source.agg(F.max("batch_id")).first()[0]
-    out_schema = None
-    for batch_id in range(0 if last is None else last + 1):
-        target = f"{done_path}/batch_id={batch_id}"
-        if is_complete(spark, target):
-            continue
-        batch = source.where(F.col("batch_id") == batch_id).drop("batch_id")
-        result = batch if process is None else process(batch, f"{path}/work/{batch_id}")
-        result.write.mode("overwrite").parquet(target)
-        out_schema = result.schema
-    if last is None:
+    arriving = (
+        spark.readStream.schema(T.StructType([*schema.fields, T.StructField("__folder", T.IntegerType())]))
+        .option("maxFilesPerTrigger", 1).parquet(source_path)
+    )
+    query = (
+        arriving.writeStream.foreachBatch(work_off).option("checkpointLocation", f"{path}/log")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    if not path_exists(spark, done_path):
         empty = df.limit(0) if process is None else process(df.limit(0), f"{path}/work/none")
         return empty.withColumn("batch_id", F.lit(None).cast("int"))
-    reader = spark.read
-    if out_schema is not None:
-        reader = reader.schema(T.StructType([*out_schema.fields, _BATCH]))
-    return reader.parquet(done_path)
+    return spark.read.parquet(done_path).drop("epoch")

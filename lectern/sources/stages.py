@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lectern.session import hadoop_path, path_exists
+from lectern.sources.identity import digest
 
-_FINGERPRINT = "_FINGERPRINT"
-# Numbers that Spark draws anew for each plan: expression ids, lambda variables, seeds.
-_DRAWN = (r"#\d+L?", r"(?<=\bx)_\d+|(?<=\by)_\d+|(?<=\bz)_\d+", r"(?<=rand\()-?\d+", r"(?<=randn\()-?\d+", r"(?<=uuid\()[^)]*", r"@[0-9a-f]{5,}")
+_NOTE = "_MADE_FROM"
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -21,60 +19,51 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def fingerprint(df: DataFrame, **settings: object) -> str:
-    """A digest of what a table is made from.
-
-    It covers the plan (so filters, limits and literals), the schema, the input
-    files with their sizes and times, and the given settings.  Rows that come
-    from the driver's memory and the code of Python functions are not covered.
-    """
-    spark = df.sparkSession
-    plan = df._jdf.queryExecution().analyzed().toString()
-    for pattern in _DRAWN:
-        plan = re.sub(pattern, "", plan)
-    files = []
-    for name in sorted(df.inputFiles()):
-        fs, target = hadoop_path(spark, name)
-        status = fs.getFileStatus(target)
-        files.append((name, status.getLen(), status.getModificationTime()))
-    known = json.dumps([plan, df.schema.json(), files, settings], default=str, sort_keys=True)
-    return hashlib.sha256(known.encode()).hexdigest()
-
-
-def _noted(spark: SparkSession, path: str) -> str | None:
-    """The fingerprint beside a table."""
-    fs, target = hadoop_path(spark, f"{path}/{_FINGERPRINT}")
+def _noted(spark: SparkSession, path: str) -> dict | None:
+    """Identity and schema noted beside a table."""
+    fs, target = hadoop_path(spark, f"{path}/{_NOTE}")
     if not fs.exists(target):
         return None
     stream = fs.open(target)
     try:
-        return stream.readLine()
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
 
 
-def _note(spark: SparkSession, path: str, value: str) -> None:
-    fs, target = hadoop_path(spark, f"{path}/{_FINGERPRINT}")
+def _note(spark: SparkSession, path: str, made_from: str, schema: T.StructType) -> None:
+    fs, target = hadoop_path(spark, f"{path}/{_NOTE}")
     stream = fs.create(target, True)
     try:
-        stream.writeBytes(f"{value}\n")
+        stream.write(bytearray(json.dumps({"made_from": made_from, "schema": schema.jsonValue()}).encode()))
     finally:
         stream.close()
 
 
-def stage_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stage_once(
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    made_from: Sequence[object] | None = None,
+) -> DataFrame:
     """Load the table at ``path``, or build and write it first.
 
-    A table that was made from something else, such as other input files or
-    another limit, is built again; see `fingerprint` for what is compared.
+    The table is taken only if it was made from the same: ``made_from`` names
+    tables, models, functions and settings (see `identity.digest`), by default
+    ``build`` itself with all it refers to.  Another filter, literal, limit,
+    model, template or input file so builds it again, and the same ones do not
+    call ``build`` at all.
 
     Reading the written table back cuts the lineage: later actions neither
     repeat the work nor draw new random values, and a lost executor costs at
     most the tasks of the stage that was running.
     """
+    wanted = digest(build) if made_from is None else digest(*made_from)
+    if is_complete(spark, path):
+        noted = _noted(spark, path)
+        if noted is not None and noted["made_from"] == wanted:
+            return spark.read.schema(T.StructType.fromJson(noted["schema"])).parquet(path)
     built = build()
-    made_from = fingerprint(built)
-    if not (is_complete(spark, path) and _noted(spark, path) == made_from):
-        built.write.mode("overwrite").parquet(path)
-        _note(spark, path, made_from)
+    built.write.mode("overwrite").parquet(path)
+    _note(spark, path, wanted, built.schema)
     return spark.read.schema(built.schema).parquet(path)

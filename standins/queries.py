@@ -154,8 +154,9 @@ def stage_once_runs(spark, d):
         builds.append(1)
         return view(spark, d, "topics")
 
-    stage_once(spark, path, build)
-    again = stage_once(spark, path, build)
+    topics = view(spark, d, "topics")
+    stage_once(spark, path, build, [topics])
+    again = stage_once(spark, path, build, [topics])
     return again.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(builds)).alias("builds"))
 
 
@@ -772,14 +773,14 @@ group by conv_id having count(*) > 1""")
 def stuck_conversations_stream(spark, d):
     source, work = fresh_path(spark, "events"), fresh_path(spark, "stream")
     events = view(spark, d, "conversation_events")
-    events.repartition(3, "turn").write.parquet(source)
+    # Spread by conversation and turn, so that one conversation arrives in several micro-batches.
+    tasks = spark.sparkContext.defaultParallelism
+    events.repartition(tasks, "conv_id", "turn").write.parquet(source)
+    session = live.stream_session(spark, tasks)
     arriving = (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    run = live.alert_once(
-        arriving, f"{work}/alerts", f"{work}/state", 1, available_now=True,
-        state_partitions=spark.sparkContext.defaultParallelism,
+        session.readStream.schema(events.schema).option("maxFilesPerTrigger", -(-tasks // 3)).parquet(source)
     )
+    run = live.alert_once(arriving, f"{work}/alerts", f"{work}/state", 1, available_now=True)
     run.awaitTermination()
     return live.read_alerts(spark, f"{work}/alerts").select("conv_id")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lectern import schemas as S
 from lectern.operators import curation
 from lectern.operators.model_stage import (
+    AnswerStore,
     CallableModel,
     ModelCallError,
     RecordedModel,
@@ -185,8 +186,13 @@ def test_skipped_paths(spark, folder):
         def __call__(self, prompts):
             return ['{"is_useful": true}'] * len(prompts)
 
-    kept = curation.select_documents(docs, CallableModel(Yes), folder)
-    assert sorted(r.file_path for r in kept.collect()) == ["README.md", "docs/changes-explained.md"]
+    every = curation.select_documents(docs, CallableModel(Yes), f"{folder}/all")
+    assert {r.file_path for r in every.where("is_useful").collect()} == {r.file_path for r in docs.collect()}
+    pattern = r"(?i)(^|/)(contributing|code[_-]of[_-]conduct|changelog)(\.[a-z]+)?$"
+    judged = curation.select_documents(docs, CallableModel(Yes), f"{folder}/some", skip=pattern)
+    assert {r.file_path: (r.is_useful, r.attempts) for r in judged.collect()} == {
+        "README.md": (True, 1), "docs/changes-explained.md": (True, 1), "CONTRIBUTING.md": (False, 0),
+        "docs/changelog.rst": (False, 0), "a/Code_of_Conduct": (False, 0)}
 
 
 def test_unknown_problem_type_stops_the_job(spark, folder):
@@ -226,3 +232,130 @@ def test_no_prompt_is_sent_more_often_than_allowed(spark, tmp_path):
     assert {p: sent.count(p) for p in prompts} == {"a": 2, "b": 2, "bad": 3, "c": 2}
     assert {p: r[1] for p, r in got.items()} == {"a": 2, "b": 2, "bad": 3, "c": 2}
     assert got["bad"][3] == "exhausted"
+
+
+class Logs:
+    """Upper-cases prompts and notes each; stops at a bad one while ``stop`` is there."""
+
+    def __init__(self, folder, stop=None, suffix=""):
+        self.folder, self.stop, self.suffix = folder, stop, suffix
+
+    def __call__(self, prompts):
+        import os
+        import time
+        import uuid
+        out = []
+        for p in prompts:
+            if p == "bad" and self.stop and os.path.exists(self.stop):
+                time.sleep(5)  # the other tasks finish first
+                raise SystemExit("executor lost")
+            with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as file:
+                file.write(p)
+            out.append(ModelCallError("busy") if p == "busy" and self.stop and os.path.exists(self.stop) else p.upper() + self.suffix)
+        return out
+
+
+def sent(folder):
+    """The prompts sent since the last look."""
+    found = sorted(f.read_text() for f in folder.iterdir())
+    for f in folder.iterdir():
+        f.rename(folder.parent / f"seen-{f.name}")
+    return found
+
+
+def store_of(spark, folder):
+    return AnswerStore(f"{folder}/answers", prompts_per_task=1)
+
+
+def table(spark, prompts):
+    return spark.createDataFrame(list(enumerate(prompts)), "k int, p string")
+
+
+def answers_of(df):
+    return {(r.k, r.p): (r.response, r.attempts, r.error_kind) for r in df.collect()}
+
+
+def test_a_stored_answer_is_not_asked_again(spark, folder, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    model, store = CallableModel(lambda: Logs(str(calls)), name="m-1"), store_of(spark, folder)
+    first = run_model(table(spark, ["a", "b", "a", None]), "k", F.col("p"), model, store=store)
+    assert answers_of(first) == {(0, "a"): ("A", 1, None), (1, "b"): ("B", 1, None), (2, "a"): ("A", 1, None), (3, None): (None, None, None)}
+    assert sent(calls) == ["a", "b"]
+    again = run_model(table(spark, ["b", "c"]), "k", F.col("p"), model, store=store)
+    assert answers_of(again) == {(0, "b"): ("B", 1, None), (1, "c"): ("C", 1, None)}
+    assert sent(calls) == ["c"]
+    # Another model has its own answers; one of the same name has these.
+    other = CallableModel(lambda: Logs(str(calls), suffix="!"), name="m-2")
+    assert answers_of(run_model(table(spark, ["a"]), "k", F.col("p"), other, store=store)) == {(0, "a"): ("A!", 1, None)}
+    assert sent(calls) == ["a"]
+    moved = CallableModel(lambda: Logs(str(calls), suffix="?"), name="m-1")
+    assert answers_of(run_model(table(spark, ["a"]), "k", F.col("p"), moved, store=store)) == {(0, "a"): ("A", 1, None)}
+    assert sent(calls) == []
+
+
+def test_a_failure_is_asked_again_by_the_next_run(spark, folder, tmp_path):
+    calls, stop = tmp_path / "calls", tmp_path / "stop"
+    calls.mkdir()
+    stop.touch()
+    model, store = CallableModel(lambda: Logs(str(calls), str(stop)), max_attempts=2, name="m"), store_of(spark, folder)
+    df = table(spark, ["a", "busy"])
+    assert answers_of(run_model(df, "k", F.col("p"), model, store=store)) == {(0, "a"): ("A", 1, None), (1, "busy"): (None, 2, "exhausted")}
+    assert sent(calls) == ["a", "busy", "busy"]
+    stop.unlink()
+    assert answers_of(run_model(df, "k", F.col("p"), model, store=store)) == {(0, "a"): ("A", 1, None), (1, "busy"): ("BUSY", 1, None)}
+    assert sent(calls) == ["busy"]
+
+
+def test_a_stopped_run_keeps_the_answers_of_its_tasks(spark, folder, tmp_path):
+    calls, stop = tmp_path / "calls", tmp_path / "stop"
+    calls.mkdir()
+    stop.touch()
+    model, store = CallableModel(lambda: Logs(str(calls), str(stop)), name="m"), store_of(spark, folder)
+    prompts = [f"p{i}" for i in range(12)] + ["bad"]
+    with pytest.raises(Exception):
+        run_model(table(spark, prompts), "k", F.col("p"), model, store=store)
+    kept = {r.response for r in store.answers(spark, model).collect()}
+    # Prompts that hash into one task with the bad one may be lost with it.
+    assert len(kept) >= 6
+    sent(calls)
+    stop.unlink()
+    got = run_model(table(spark, prompts), "k", F.col("p"), model, store=store)
+    assert {r.response for r in got.collect()} == {p.upper() for p in prompts}
+    assert {p.upper() for p in sent(calls)} == {p.upper() for p in prompts} - kept
+
+
+def test_a_new_template_sends_only_its_own_prompts(spark, folder, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    class Useful(Logs):
+        def __call__(self, prompts):
+            super().__call__(prompts)
+            return ['{"is_useful": true, "reason": "r"}'] * len(prompts)
+
+    path = str(calls)
+    model, store = CallableModel(lambda: Useful(path), name="m"), store_of(spark, folder)
+    spark.createDataFrame([("k1", "t1", "d"), ("k2", "t2", "d")], "topic_key string, title string, description string").write.parquet(f"{folder}/topics")
+    topics = spark.read.parquet(f"{folder}/topics")
+
+    def judge(template):
+        return curation.judge_topics(topics, model, f"{folder}/judged", template, store=store).count()
+
+    assert judge("old {title} {description} {key}") == 2 and len(sent(calls)) == 2
+    assert judge("old {title} {description} {key}") == 2 and sent(calls) == []
+    # One prompt of the two reads the same under the new template.
+    spark.createDataFrame([("k1", "old t1", "d"), ("k2", "t2", "d")], "topic_key string, title string, description string").write.mode("overwrite").parquet(f"{folder}/topics")
+    topics = spark.read.parquet(f"{folder}/topics")
+    assert judge("{title} {description} {key}") == 2 and sent(calls) == ["t2 d k2"]
+
+
+def test_another_model_makes_a_stage_again(spark, folder):
+    spark.createDataFrame([("k1", "t1", "d")], "topic_key string, title string, description string").write.parquet(f"{folder}/topics")
+    topics = spark.read.parquet(f"{folder}/topics")
+
+    def says(reason):
+        return CallableModel(lambda: lambda prompts: [f'{{"is_useful": true, "reason": "{reason}"}}'] * len(prompts))
+
+    for reason in ("one", "two"):
+        assert curation.judge_topics(topics, says(reason), f"{folder}/judged").first().reason == reason

@@ -1,12 +1,20 @@
+import os
+import subprocess
+import sys
+from functools import partial
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lectern import schemas as S
 from lectern.session import fresh_path, path_exists
 from lectern.sources import corpus, csv_tables, json_records, training_sets
 from lectern.sources.batches import checkpointed_batches
+from lectern.sources.identity import Files, digest, plan_digest
 from lectern.sources.stages import is_complete, stage_once
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -120,10 +128,19 @@ def test_stage_is_built_once(spark, folder):
         built.append(1)
         return spark.range(5).withColumn("u", F.uuid())
 
-    first = stage_once(spark, folder, build)
-    again = stage_once(spark, folder, build)
-    # The plan is made again to compare what it is made from; the rows are not.
+    first = stage_once(spark, folder, build, ["five rows"])
+    again = stage_once(spark, folder, build, ["five rows"])
+    assert built == [1]
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
+    stage_once(spark, folder, build, ["other rows"])
     assert built == [1, 1]
+
+
+def test_stage_rows_stay_as_written(spark, folder):
+    def build():
+        return spark.range(5).withColumn("u", F.uuid())
+
+    first, again = stage_once(spark, folder, build), stage_once(spark, folder, build)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
 
 
@@ -143,14 +160,16 @@ def test_batches_resume(spark, folder):
             raise RuntimeError("lost")
         return batch.withColumn("double", F.col("k") * 2).where("k <> 30")
 
-    with pytest.raises(RuntimeError):
-        checkpointed_batches(df, folder, ["k"], 30, process)
-    done = checkpointed_batches(df, folder, ["k"], 30, process)
-    assert len(calls) == 5
+    with pytest.raises(StreamingQueryException, match="lost"):
+        checkpointed_batches(df, folder, ["k"], 30, process, ["double"])
+    done = checkpointed_batches(df, folder, ["k"], 30, process, ["double"])
+    assert len(calls) == 5 and calls[2] == calls[3]
     rows = sorted((r.k, r.double, r.batch_id) for r in done.collect())
     assert rows == [(k, 2 * k, k // 30) for k in range(95) if k != 30]
-    again = checkpointed_batches(df, folder, ["k"], 30, process)
+    again = checkpointed_batches(df, folder, ["k"], 30, process, ["double"])
     assert len(calls) == 5 and again.count() == 94
+    other = checkpointed_batches(df, folder, ["k"], 30, process, ["another model"])
+    assert len(calls) == 9 and other.count() == 94
 
 
 def test_batches_of_nothing(spark, folder):
@@ -167,7 +186,7 @@ def test_batch_without_rows_counts_as_done(spark, folder):
         return batch.where("k >= 10")
 
     for _ in range(2):
-        assert checkpointed_batches(df, folder, ["k"], 10, process).count() == 10
+        assert checkpointed_batches(df, folder, ["k"], 10, process, ["half"]).count() == 10
     assert len(calls) == 2
 
 
@@ -204,3 +223,116 @@ def test_files_with_their_columns_in_another_order(spark, tmp_path, read):
     (tmp_path / "b.csv").write_text("downloads,crate_id\n20,2\n30,3\n")
     rows = read(spark, str(tmp_path), S.CRATE_DOWNLOADS)
     assert sorted(map(tuple, rows.collect())) == [(1, 10), (2, 20), (3, 30)]
+
+
+def kept_rows(spark, folder):
+    """A table whose rows tell filters apart."""
+    path = f"{folder}/in"
+    if not path_exists(spark, path):
+        spark.createDataFrame([("b", "u#1"), ("zz", "bob@abcde1")], "k string, t string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("one,two", [
+    (lambda df: df.select(F.lit("issue #1").alias("x")), lambda df: df.select(F.lit("issue #2").alias("x"))),
+    (lambda df: df.where(F.col("k").isin(*map(str, range(39)), "zz")), lambda df: df.where(F.col("k").isin(*map(str, range(39)), "b"))),
+    (lambda df: df.select(F.concat(*[F.lit(str(i)) for i in range(40)]).alias("x")),
+     lambda df: df.select(F.concat(*[F.lit(str(i)) for i in range(39)], F.lit("last")).alias("x"))),
+    (lambda df: df.where("t = 'bob@abcde1'"), lambda df: df.where("t = 'bob@abcde2'")),
+    (lambda df: df.limit(1), lambda df: df.limit(2)),
+    (lambda df: df.select(F.col("k").alias("x")), lambda df: df.select(F.col("t").alias("x"))),
+    (lambda df: df.mapInArrow(lambda batches: batches, df.schema), lambda df: df.mapInArrow(lambda batches: iter([]), df.schema)),
+], ids=["marks", "long list", "many literals", "object marks", "limit", "column", "function"])
+def test_plans_are_told_apart(spark, folder, one, two):
+    df = kept_rows(spark, folder)
+    assert plan_digest(one(df)) == plan_digest(one(kept_rows(spark, folder)))
+    assert plan_digest(one(df)) != plan_digest(two(df))
+    first = stage_once(spark, f"{folder}/s", lambda: one(df), [one(df)])
+    wanted = sorted(map(tuple, two(df).collect()))
+    assert sorted(map(tuple, first.collect())) != wanted
+    assert sorted(map(tuple, stage_once(spark, f"{folder}/s", lambda: two(df), [two(df)]).collect())) == wanted
+
+
+def test_lambdas_and_joins_of_one_plan_have_one_digest(spark, folder):
+    def plan():
+        df = kept_rows(spark, folder)
+        words = df.select("k", F.transform(F.split("t", ""), lambda c: F.upper(c)).alias("w"))
+        return words.alias("a").join(df.alias("b"), F.col("a.k") == F.col("b.k")).groupBy("a.k").agg(F.count("w").alias("n"))
+    assert plan_digest(plan()) == plan_digest(plan())
+
+
+def test_csv_options_tell_sources_apart(spark, folder):
+    text_file(spark, f"{folder}/x.csv", "a;b\n1;2\n")
+    def read(sep):
+        return spark.read.schema("a string").option("sep", sep).csv(f"{folder}/x.csv")
+    assert plan_digest(read(";")) != plan_digest(read(","))
+
+
+def test_rows_in_memory_are_never_the_same_again(spark):
+    def rows():
+        return spark.createDataFrame([(1,)], "a int")
+    assert plan_digest(rows()) != plan_digest(rows())
+
+
+FACTOR = 2
+
+
+def scaled(x):
+    return x * FACTOR
+
+
+class Model:
+    kind = "small"
+
+    def __init__(self, weight):
+        self.weight = weight
+
+    def reply(self, prompts):
+        return [scaled(self.weight) for _ in prompts]
+
+
+def maker(weight):
+    return lambda: Model(weight)
+
+
+def test_functions_count_by_all_they_refer_to(monkeypatch):
+    same = digest(maker(1))
+    assert same == digest(maker(1)) and same != digest(maker(2))
+    assert digest(Model(1)) == digest(Model(1)) != digest(Model(3))
+    assert digest(partial(scaled, 1)) != digest(partial(scaled, 2))
+    assert digest({"a": 1, "b": {2, 3}}) == digest({"b": {3, 2}, "a": 1}) != digest({"a": 1, "b": {2, 4}})
+    assert digest("1") != digest(1) != digest(True) and digest(["a", "b"]) != digest(["ab"])
+    monkeypatch.setitem(globals(), "FACTOR", 3)
+    changed = digest(maker(1))
+    assert changed != same
+    monkeypatch.setattr(Model, "kind", "large")
+    assert digest(maker(1)) not in (same, changed)
+    monkeypatch.setattr(Model, "reply", lambda self, prompts: [])
+    assert digest(maker(1)) not in (same, changed)
+
+
+def test_digests_agree_between_processes(tmp_path):
+    script = tmp_path / "made.py"
+    script.write_text(
+        "from lectern.sources.identity import digest\n"
+        "from lectern.operators.model_stage import CallableModel\n"
+        "KNOWN = {'a', 'b', 'c', 'd'}\n"
+        "class Asks:\n    def __init__(self, n): self.n = n\n    def __call__(self, prompts): return [p for p in prompts if p in KNOWN]\n"
+        "print(digest(CallableModel(lambda: Asks(3), max_attempts=2), [1.5, None]))\n")
+    root = str(Path(__file__).resolve().parents[1])
+    seen = {subprocess.run([sys.executable, str(script)], capture_output=True, text=True, check=True,
+                           env={**os.environ, "PYTHONPATH": root, "PYTHONHASHSEED": str(seed)}).stdout for seed in (1, 2)}
+    assert len(seen) == 1 and seen.pop().strip()
+
+
+def test_columns_need_a_table():
+    with pytest.raises(TypeError, match="name what the table is made from"):
+        digest(F.lit(1))
+
+
+def test_files_are_told_apart(spark, folder):
+    text_file(spark, f"{folder}/a.txt", "one")
+    before = digest(Files(spark, (folder,)))
+    assert before == digest(Files(spark, (folder,)))
+    text_file(spark, f"{folder}/b.txt", "two")
+    assert digest(Files(spark, (f"{folder}/*",))) != before
