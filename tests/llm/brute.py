@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 
 def smallest_reachable(nodes, edges):
@@ -107,14 +107,19 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def spark_hash(words):
-    """xxhash64 of a string with the seed that the SQL function has."""
-    import xxhash
-    return xxhash.xxh64_intdigest(words.encode(), 42)
+def close_pairs(pairs):
+    """The (a, b) of (a, b, most) with an edit distance of at most ``most``."""
+    import duckdb
+    import pyarrow as pa
+
+    if not pairs:
+        return []
+    pairs_table = pa.table({c: [p[i] for p in pairs] for i, c in enumerate("abm")})  # noqa: F841
+    return duckdb.connect().sql("select a, b from pairs_table where levenshtein(a, b) <= m").fetchall()
 
 
 def dropped_lines(rows):
-    """{id: (lines with a word, numbers of dropped ones)}."""
+    """{id: (lines with a word, numbers of dropped ones)}; compares every pair of distinct lines."""
     import regex
     lines = []
     for i, text in rows:
@@ -122,18 +127,19 @@ def dropped_lines(rows):
             value = regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
             if value:
                 lines.append((i, at, value))
-    values = sorted({v for _, _, v in lines})
-    sims = {}
-    for v in values:
-        words = v.split(" ")
-        hashes = [spark_hash(w) for w in words]
-        sims[v] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(words))
-    edges = []
+    values = sorted({v for _, _, v in lines}, key=lambda v: (len(v), v))
+    counts = [Counter(v) for v in values]
+    pairs = []
     for k, a in enumerate(values):
-        for b in values[k + 1:]:
-            if bin(sims[a] ^ sims[b]).count("1") <= 3 and min(len(a), len(b)) >= 0.9 * max(len(a), len(b)):
-                if edit_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
-                    edges.append((a, b))
+        for j in range(k + 1, len(values)):
+            b = values[j]
+            most = int(0.1 * len(b) + 1e-9)
+            if len(b) - len(a) > most:
+                break
+            # Letters that one has and the other lacks need an edit each.
+            if sum((counts[j] - counts[k]).values()) <= most:
+                pairs.append((a, b, most))
+    edges = close_pairs(pairs)
     label = smallest_reachable(values, edges)
     first, out = {}, {}
     for i, at, v in sorted(lines):

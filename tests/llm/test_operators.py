@@ -15,7 +15,7 @@ from lectern.llm.decontamination import contamination
 from lectern.llm.jaccard_join import jaccard_components, light_boundary, light_links, linkable_sets
 from lectern.llm.language_id import identify
 from lectern.llm.license_scan import license_scan
-from lectern.llm.line_dedup import dropped_lines, first_copies, line_signatures, without_lines, word_lines
+from lectern.llm.line_dedup import dropped_lines, first_copies, without_lines, word_lines
 from lectern.llm.mixing import mixed, source_targets
 from lectern.llm.scratch import stored
 from lectern.llm.suffix_dedup import without_repeats
@@ -257,16 +257,23 @@ def test_lines_with_one_word_replaced_are_found(spark):
     assert got == wanted
 
 
-def test_repeated_rows_do_not_change_signatures(spark):
+def test_repeated_rows_count_once_and_keep_their_links(spark):
     text = " ".join(f"word{i}" for i in range(30))
-    rows = spark.createDataFrame([(1, text)] * 3 + [(None, "other " + text)] * 2, "doc_id long, text string")
-    once = {r.node: r.sim for r in line_signatures(word_lines(rows.distinct(), "doc_id", "text")).collect()}
-    lines = first_copies(stored(word_lines(rows, "doc_id", "text"), "lines"))
-    assert sorted((r.node, r.sim) for r in line_signatures(lines).collect()) == sorted(once.items())
-    near = text.replace("word7 ", "word8 ")
-    both = rows.union(spark.createDataFrame([(2, near + "\nmine alone")], rows.schema))
-    got = {r.row_id: (r.n_lines, r.dropped) for r in dropped_lines(both).collect()}
-    assert got == {1: (1, []), 2: (2, [0]), None: (1, [0])}
+    near = text.replace("word17", "ward17")
+    rows = [(1, text)] * 3 + [(2, f"own line\n{near}")] + [(None, text)] * 2
+    lines = stored(word_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"), "lines")
+    assert first_copies(lines).groupBy("row", "line").count().where("count > 1").isEmpty()
+    got = {r.row_id: (r.n_lines, r.dropped) for r in dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, []), 2: (2, [1]), None: (1, [0])}
+
+
+def test_lines_without_blanks_meet_as_well(spark):
+    rng = random.Random(5)
+    one = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(120))
+    two = one[:50] + "好" + one[51:]
+    rows = [(1, one), (2, two), (3, "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(120)))]
+    got = {r.row_id: r.dropped for r in dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0], 3: []}
 
 
 def test_license_rules(spark):

@@ -77,3 +77,24 @@ def test_pipeline_stages(spark, small):
     assert mix.count() == clean.count()
     total, taken = mix.agg(F.sum("size"), F.sum("taken")).first()
     assert abs(taken - 1.5 * total) <= 20
+
+
+def test_stages_go_by_rows_not_ids(spark, small):
+    item = spark.read.parquet(f"{small}/benchmark.parquet").orderBy("item_id").first().text
+    schema = spark.read.parquet(f"{small}/documents.parquet").schema
+    clean = "plain words that stand in no benchmark at all " * 3
+    rows = [(None, item, None, None, None), (1, item, "en", "s", 1), (1, clean, "en", "s", 1), (None, "short one", None, None, None),
+            (2, clean, "en", "s", 1), (2, clean, "en", "s", 1), (3, None, None, "s", None), (4, "", None, "s", 0), (None, clean, None, "t", 1)]
+    docs = stored(spark.createDataFrame(rows, schema), "rows")
+    kept = corpus_pipeline.decontamination(spark, docs, small).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in docs.collect() if r.text != item)
+    single = corpus_pipeline.near_duplicates(spark, docs, small).collect()
+    assert sorted((str(r.doc_id), r.text) for r in single) == sorted(
+        [("1", item), ("1", clean), ("None", "short one"), ("3", None), ("4", "")], key=str)
+
+
+def test_stages_on_no_rows(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, small), name)
+        assert docs.count() == 0
