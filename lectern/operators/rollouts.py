@@ -33,9 +33,10 @@ def rollout_rewards(
 
     Attempts without outcome give no row.  An outcome whose attempt is not one of
     1..n stops the job; with ``outside="drop"`` it is left out, with ``"keep"``
-    it counts like the others.
+    it counts like the others.  A ``response`` of the outcomes is handed on.
     """
-    results = outcomes.select(key, "attempt", F.col("success").cast("double").alias("reward"))
+    handed = [c for c in ("response",) if c in outcomes.columns]
+    results = outcomes.select(key, "attempt", F.col("success").cast("double").alias("reward"), *handed)
     within = F.coalesce(F.col("attempt").between(1, n), F.lit(False))
     if outside == "error":
         message = F.concat(
@@ -47,7 +48,7 @@ def rollout_rewards(
         results = results.where(within)
     elif outside != "keep":
         raise ValueError(f"unknown way to handle attempts outside 1..n: {outside!r}")
-    return tasks.join(results, key).select(key, "attempt", *[c for c in tasks.columns if c != key], "reward")
+    return tasks.join(results, key).select(key, "attempt", *[c for c in tasks.columns if c != key], "reward", *handed)
 
 
 def group_advantage(rewards: DataFrame, key: str) -> DataFrame:

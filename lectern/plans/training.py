@@ -55,21 +55,19 @@ def rollout_set(
     n: int = ROLLOUTS_PER_TASK,
     prompt_limit: int = MAX_PROMPT_LENGTH,
     response_limit: int = MAX_RESPONSE_LENGTH,
-    on_long_response: str = "truncate",
+    on_long_response: str = "error",
     outside: str = "error",
 ) -> DataFrame:
     """Exams as tasks, n attempts each, with reward and advantage within the task.
 
     Outcomes may carry the ``response`` of the attempt; it is held to
-    ``response_limit`` words and handed on.
+    ``response_limit`` words, by default by stopping the job, and handed on with
+    its own outcome.
     """
     tasks = length_budget(
         load_exams(rows, image_name, project_dir, library_dir), "question", prompt_limit, key
     )
     rewards = rollout_rewards(tasks, outcomes, key, n, outside)
     if "response" in outcomes.columns:
-        held = length_budget(
-            outcomes.select(key, "attempt", "response"), "response", response_limit, key, on_long_response
-        )
-        rewards = rewards.join(held, [key, "attempt"])
+        rewards = length_budget(rewards, "response", response_limit, key, on_long_response)
     return group_advantage(rewards, key)

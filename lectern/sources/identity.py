@@ -173,10 +173,10 @@ class _Digester:
             self.add(value.__made_from__())
         elif isinstance(value, Mapping):
             self.put("mapping", len(value))
-            self._unordered([k, v] for k, v in value.items())
+            for key in sorted(value, key=digest):
+                self.many([key, value[key]])
         elif isinstance(value, Set):
-            self.put("set", len(value))
-            self._unordered(value)
+            self.put("set", len(value), *sorted(map(digest, value)))
         elif isinstance(value, (list, tuple)):
             self.put(type(value).__name__)
             self.many(value)
@@ -197,7 +197,9 @@ class _Digester:
         elif isinstance(value, type):
             self.put("class", value.__qualname__)
             self.many(value.__bases__)
-            self._unordered([k, v] for k, v in vars(value).items() if k not in _OF_CLASSES)
+            for name in sorted(set(vars(value)) - set(_OF_CLASSES)):
+                self.put(name)
+                self.add(vars(value)[name])
         elif isinstance(value, (staticmethod, classmethod)):
             self.add(value.__func__)
         elif isinstance(value, property):
@@ -207,10 +209,6 @@ class _Digester:
         else:
             self._object(value)
 
-    def _unordered(self, values: Iterable) -> None:
-        for one in sorted(digest(v) for v in values):
-            self.put(one)
-
     def _code(self, code: types.CodeType) -> None:
         # Neither file nor line: moving a function does not change it.
         self.put("code", code.co_code, code.co_names, code.co_varnames, code.co_freevars, code.co_argcount, code.co_flags)

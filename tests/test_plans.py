@@ -124,9 +124,15 @@ class Refuses:
 
 def test_synthesis_run_again_calls_no_model(spark, small, folder):
     docs = view(spark, small, "docs")
-    made = keys(synthesis.qra_records(docs, synthesis_models(), folder, max_topics=30))
-    refusing = synthesis.SynthesisModels(*[CallableModel(Refuses)] * 5)
-    assert keys(synthesis.qra_records(docs, refusing, folder, max_topics=30)) == made
+    steps = {f.name: getattr(synthesis_models(), f.name) for f in fields(synthesis.SynthesisModels)}
+    named = {step: m and replace(m, name=f"{step} 1") for step, m in steps.items()}
+    made = keys(synthesis.qra_records(docs, synthesis.SynthesisModels(**named), folder, max_topics=30))
+    refusing = {step: m and replace(m, load=Refuses) for step, m in named.items()}
+    assert keys(synthesis.qra_records(docs, synthesis.SynthesisModels(**refusing), folder, max_topics=30)) == made
+    # The same names with another version of one step: it is asked.
+    newer = {**refusing, "select_documents": replace(refusing["select_documents"], name="another version")}
+    with pytest.raises(Exception, match="no more calls"):
+        synthesis.qra_records(docs, synthesis.SynthesisModels(**newer), folder, max_topics=30).count()
 
 
 def test_failed_topic_extraction_stops_the_run(spark, small, folder):
@@ -248,3 +254,17 @@ def test_repeated_package_ids_count_once(spark):
     best = trending.trending_packages(crates, downloads, dependencies, versions)
     assert sorted((r.name, r.repository, r.direct_dependant_count) for r in best.collect()) == [
         ("n1", "r1", 2), ("n1", "r2", 2), ("n2", "r3", 1), ("n3", "r4", 0)]
+
+
+def test_responses_stay_with_their_outcomes_and_are_not_cut(spark, small):
+    first = view(spark, small, "exam_table").where("status = 'generated'").limit(1)
+    table = first.withColumn("id", F.lit("e1"))
+    schema = "id string, attempt int, success boolean, response string"
+    twice = spark.createDataFrame([("e1", 1, True, "one"), ("e1", 1, False, "two"), ("e1", None, True, "none")], schema)
+    made = training.rollout_set(table, twice, "i", "/p", "/l", outside="keep")
+    assert sorted((str(r.attempt), r.reward, r.response) for r in made.collect()) == [("1", 0.0, "two"), ("1", 1.0, "one"), ("None", 1.0, "none")]
+    long = spark.createDataFrame([("e1", 1, True, "w " * 10_001)], schema)
+    with pytest.raises(Exception, match="response too long for id e1: 10001 > 10000"):
+        training.rollout_set(table, long, "i", "/p", "/l").collect()
+    cut = training.rollout_set(table, long, "i", "/p", "/l", on_long_response="truncate")
+    assert len(cut.first().response.split()) == 10_000

@@ -291,6 +291,11 @@ class Model:
         return [scaled(self.weight) for _ in prompts]
 
 
+class Louder(Model):
+    def reply(self, prompts):
+        return [str(r).upper() for r in super().reply(prompts)]
+
+
 def maker(weight):
     return lambda: Model(weight)
 
@@ -299,6 +304,7 @@ def test_functions_count_by_all_they_refer_to(monkeypatch):
     same = digest(maker(1))
     assert same == digest(maker(1)) and same != digest(maker(2))
     assert digest(Model(1)) == digest(Model(1)) != digest(Model(3))
+    assert digest(Louder(1)) == digest(Louder(1)) != digest(Model(1))
     assert digest(partial(scaled, 1)) != digest(partial(scaled, 2))
     assert digest({"a": 1, "b": {2, 3}}) == digest({"b": {3, 2}, "a": 1}) != digest({"a": 1, "b": {2, 4}})
     assert digest("1") != digest(1) != digest(True) and digest(["a", "b"]) != digest(["ab"])
