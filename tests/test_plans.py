@@ -1,5 +1,5 @@
 import sys
-from dataclasses import replace
+from dataclasses import fields, replace
 
 import pytest
 from pyspark import cloudpickle
