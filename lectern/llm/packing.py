@@ -41,6 +41,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -53,11 +54,13 @@ WINDOW = 4096
 #: Largest block that is filled by triples.
 TRIPLES_UP_TO = 512
 SOLVER_ROUNDS = 400
+#: Rows and bytes of texts that are encoded in one step; a longer text is a step of its own.
+STEP_ROWS, STEP_BYTES = 1000, 4_000_000
 #: Bytes of chunks that are remembered from batch to batch.
 REMEMBERED = 3_000_000
 
 #: Fresh words that are encoded as one text, and the stops that may follow a word.
-TOGETHER, STOPS = 256, "!#$%&()*+,-./:;=?@_{|}~"
+TOGETHER, STOPS = 64, "!#$%&()*+,-./:;=?@_{|}~"
 
 _RANK_BITS = 37
 
@@ -395,6 +398,18 @@ def pack_plan(counts: np.ndarray, window: int = WINDOW, sequence: int = 0) -> Pl
     return Plan(*rows.T.copy(), sequence)
 
 
+def _steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of bounded number and size."""
+    begin, held = 0, 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > begin and (i - begin == STEP_ROWS or held + (size or 0) > STEP_BYTES):
+            yield begin, i
+            begin, held = i, 0
+        held += size or 0
+    if len(texts) > begin:
+        yield begin, len(texts)
+
+
 def _encoded(docs: DataFrame, tokenizer_file: str, end_id: int, window: int, id_col: str, text_col: str) -> DataFrame:
     """row_id, n, ids (32-bit little endian), rest, part and the ranks in it, for every row."""
     out = pa.schema([
@@ -407,8 +422,8 @@ def _encoded(docs: DataFrame, tokenizer_file: str, end_id: int, window: int, id_
         part = TaskContext.get().partitionId()
         full, seen = 0, np.zeros(window, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                some = batch.slice(at, 200)
+            for begin, stop in _steps(batch.column(1)):
+                some = batch.slice(begin, stop - begin)
                 rows = []
                 texts = [t or b"" for t in byte_texts(some.column(1))]
                 for row_id, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
