@@ -17,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern import schemas as S
-from lectern.operators.metrics import accuracy_text
+from lectern.operators.metrics import accuracy_text, counted, stage_funnel
 from lectern.operators.model_stage import AnswerStore
 from lectern.operators.positions import with_position
 from lectern.operators.records import as_prompt_completion, solve_results
 from lectern.plans import evaluation, synthesis, training, trending
 from lectern.plans import exam_set as exam_plan
-from lectern.session import apply_runtime_settings
+from lectern.session import apply_runtime_settings, path_exists
 from lectern.sources import corpus, csv_tables, json_records, training_sets
 from lectern.sources.identity import Files
 from lectern.sources.stages import stage_once
 
+EXAM_BATCH = 1_000
 KEYED_QRA = T.StructType([T.StructField("qa_key", T.StringType(), False), *S.QRA.fields])
 
 
@@ -54,6 +55,39 @@ def load_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
     return rows.withColumn("qa_key", key).select(*KEYED_QRA.names)
 
 
+def load_documents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """file_path, text and file_pos of the documents, in one pass over the small files."""
+    texts = stage_once(
+        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents), [Files(spark, (args.documents,))]
+    )
+    order = with_position(texts.select("file_path"), ["file_path"], f"{args.work}/files", "file_pos")
+    return texts.join(order, "file_path")
+
+
+def document_stages(spark: SparkSession, work: str) -> dict[str, DataFrame]:
+    """What the steps up to the topics have written."""
+    chosen, extracted = spark.read.parquet(f"{work}/documents"), spark.read.parquet(f"{work}/topics")
+    return {
+        "documents": chosen, "useful_documents": chosen.where("is_useful"),
+        "extracted_topics": extracted.select(F.explode("topics").alias("topic"))}
+
+
+def report(spark: SparkSession, work: str, written: Mapping[str, DataFrame], observed: Mapping[str, int]) -> DataFrame:
+    """Rows by stage, shown and kept under ``WORK/counts``.
+
+    ``written`` are tables that lie there already, so that no step runs again to be
+    counted; ``observed`` were counted while they were written.
+    """
+    last = len(written)
+    rows = [(last + place, name, n) for place, (name, n) in enumerate(observed.items())]
+    seen = spark.createDataFrame(rows, "stage_pos int, stage string, rows long")
+    counts = stage_funnel(**written).unionByName(seen).orderBy("stage_pos")
+    counts.coalesce(1).write.mode("overwrite").json(f"{work}/counts")
+    kept = spark.read.schema("stage_pos int, stage string, rows long").json(f"{work}/counts").orderBy("stage_pos")
+    kept.show(last + len(rows), truncate=False)
+    return kept
+
+
 def rank_packages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     tables = trending.load_registry(spark, args.dump, args.work, args.splittable)
     best = trending.trending_packages(
@@ -72,38 +106,57 @@ def synthesise(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             "hindsight_reasoning",
         )
     ]
-    # One pass over the small files; later steps read only the columns they need.
-    texts = stage_once(
-        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents), [Files(spark, (args.documents,))]
-    )
-    order = with_position(texts.select("file_path"), ["file_path"], f"{args.work}/files", "file_pos")
     made = synthesis.qra_records(
-        texts.join(order, "file_path"), synthesis.SynthesisModels(*steps), args.work,
+        load_documents(spark, args), synthesis.SynthesisModels(*steps), args.work,
         args.max_topics, args.batch_size, args.concurrency, answer_store(args),
     )
-    json_records.save_json_lines(made.select(*KEYED_QRA.names), args.out)
+    saved, seen = counted(made.select(*KEYED_QRA.names), "records")
+    json_records.save_json_lines(saved, args.out)
+    report(spark, args.work, document_stages(spark, args.work), {"records": seen.get["rows"]})
     return made
 
 
-def load_topics(spark: SparkSession, path: str) -> DataFrame:
+def load_topics(spark: SparkSession, path: str, work: str) -> DataFrame:
     """Topics of a document ``{"topics": [{"file_path": ..., "topic": {...}}]}``."""
-    rows = json_records.load_json_document(spark, path, S.TOPIC_ENTITY, root="topics")
-    place = F.col("pos").cast("string")
-    return rows.select(
-        F.col("source_file").alias("file_pos"), F.col("pos").alias("topic_pos"), "file_path",
-        F.concat_ws(":", "file_path", place).alias("topic_key"), "topic.title", "topic.description",
-    )
+    rows = json_records.load_json_document(spark, path, S.TOPIC_ENTITY, root="topics").select(
+        F.col("source_file").alias("file_pos"), "pos", "file_path", "topic.title", "topic.description")
+    return exam_plan.keyed_topics(rows, work).drop("pos")
+
+
+def load_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Outcomes so far; none while the generator has not written any."""
+    if path_exists(spark, path):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], S.EXAM_OUTCOME)
 
 
 def build_exams(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Outcomes are a Parquet table by ``topic_key``, as ``exam_set`` describes it."""
-    made = exam_plan.exam_set(
-        load_topics(spark, args.topics), spark.read.parquet(args.outcomes),
-        load_model(spark, args.model)["judge_topics"], F.lit(args.image), args.work,
-        args.max_topics, args.concurrency,
-    )
-    exams = stage_once(spark, f"{args.work}/exams", lambda: made)
+    """From documents, or a finished topics document, to the exam table and the queue of waiting topics.
+
+    Outcomes are a Parquet table by ``topic_key``, as ``exam_set`` describes it, to which the
+    generator of exams adds.  ``WORK/waiting`` has the topics still without one, in batches (one
+    folder each).  Run again, the job calls no model for what it has judged, takes the outcomes
+    that have come since and writes both tables anew.
+    """
+    model, store = load_model(spark, args.model), answer_store(args)
+    outcomes = load_outcomes(spark, args.outcomes)
+    if args.documents:
+        docs = load_documents(spark, args)
+        two = synthesis.TopicModels(model["select_documents"], model["extract_topics"])
+        topics = synthesis.topic_table(docs, two, args.work, args.concurrency, store)
+        stages = document_stages(spark, args.work)
+    else:
+        topics, stages = load_topics(spark, args.topics, args.work), {}
+    useful = exam_plan.useful_topics(topics, model["judge_topics"], args.work, args.max_topics, args.concurrency, store)
+    made = exam_plan.exams_of(useful, outcomes, F.lit(args.image))
+    exams = stage_once(spark, f"{args.work}/exams", lambda: made, [made])
     csv_tables.write_csv(exams.select(*S.EXAM_ROW.names), args.out)
+    waiting, seen = counted(exam_plan.waiting_topics(useful, outcomes, args.work, args.batch_size), "waiting")
+    waiting.repartition("batch_id").write.mode("overwrite").partitionBy("batch_id").parquet(f"{args.work}/waiting")
+    report(spark, args.work, {
+        **stages, "topics": topics, "useful_topics": useful, "exams": exams.where("status = 'generated'"),
+        "failed_exams": exams.where("status <> 'generated'"),
+        "outcomes_of_no_topic": exam_plan.unknown_outcomes(topics, outcomes)}, {"waiting": seen.get["rows"]})
     return exams.groupBy("status").count()
 
 
@@ -183,8 +236,12 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--form", choices=["conversations", "completions"], default="conversations")
     train.add_argument("--max-length", type=int, default=training.MAX_TRAINING_LENGTH)
     train.add_argument("--on-exceed", choices=["drop", "error"], default="error")
-    examine = command("exam-set", build_exams, "topics", "outcomes", "image", model=True)
+    examine = command("exam-set", build_exams, "outcomes", "image", model=True)
+    given = examine.add_mutually_exclusive_group(required=True)
+    given.add_argument("--documents", help="folder of documents, from which topics are made")
+    given.add_argument("--topics", help="finished topics document")
     examine.add_argument("--max-topics", type=int)
+    examine.add_argument("--batch-size", type=int, default=EXAM_BATCH, help="waiting topics in a batch")
     roll = command("rollouts", build_rollouts, "exams", "outcomes", "image", "project-dir", "library-dir")
     roll.add_argument("--attempts", type=int, default=training.ROLLOUTS_PER_TASK)
     return top

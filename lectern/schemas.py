@@ -37,6 +37,9 @@ EXAM_ROW = optional(
     id=_S, topic_title=_S, topic_description=_S, file_path=_S, question=_S,
     solution_commit=_S, problem_commit=_S, image_name=_S, status=_S,
 )
+EXAM_OUTCOME = optional(
+    topic_key=_S, question=_S, exit_code=T.IntegerType(), solution_commit=_S, problem_commit=_S, error=_S,
+)
 REPOSITORY = required(name=_S, local_dir=_S)
 CODING_EXAM = required(
     id=_S, image_name=_S, project=REPOSITORY, library=REPOSITORY,

@@ -98,3 +98,42 @@ def test_exam_set(spark, small, folder):
     useful = [i for i in range(9) if M.digits("useful:", f"a.md:{i}")[0] < "c"]
     assert sum(r["count"] for r in counts.collect()) == len(useful)
     assert csv_tables.read_csv_strict(spark, f"{folder}/out", S.EXAM_ROW).count() == len(useful)
+
+
+def counts_of(spark, work):
+    return {r.stage: r.rows for r in spark.read.json(f"{work}/counts").collect()}
+
+
+def test_exams_from_documents_in_two_runs(spark, folder):
+    """Topics without an outcome wait in batches; the second run takes those that have one by then."""
+    for i in range(8):
+        text_file(spark, f"{folder}/docs/{i}.md", f"First part {i}.\n\nOther line {i}.\n\nThird {i}.")
+    args = ["exam-set", "--documents", f"{folder}/docs", "--outcomes", f"{folder}/outcomes", "--image", "base",
+            "--model", "test_jobs:steps", "--work", f"{folder}/work", "--out", f"{folder}/out", "--batch-size", "3"]
+    assert jobs.main(args, spark).count() == 0
+    waiting = spark.read.parquet(f"{folder}/work/waiting").collect()
+    first = counts_of(spark, f"{folder}/work")
+    assert first["documents"] == 8 and first["waiting"] == len(waiting) == first["useful_topics"] > 3
+    assert first["extracted_topics"] == first["topics"] >= first["useful_topics"]
+    in_order = sorted(waiting, key=lambda r: (r.file_pos, r.topic_pos))
+    assert [r.batch_id for r in in_order] == [i // 3 for i in range(len(waiting))]
+
+    done = [r.topic_key for r in waiting if r.batch_id == 0]
+    rows = [(key, "q", 0, "s", "p", "stuck" if i == 0 else None) for i, key in enumerate(done)]
+    spark.createDataFrame([*rows, ("nowhere:0", "q", 0, "s", "p", None)], S.EXAM_OUTCOME).write.parquet(f"{folder}/outcomes")
+    statuses = {r.status: r["count"] for r in jobs.main(args, spark).collect()}
+    assert statuses == {"generated": 2, "failed: stuck": 1}
+    second = counts_of(spark, f"{folder}/work")
+    assert second["waiting"] == first["waiting"] - 3 and second["outcomes_of_no_topic"] == 1
+    assert (second["exams"], second["failed_exams"]) == (2, 1)
+    left = {r.topic_key for r in spark.read.parquet(f"{folder}/work/waiting").collect()}
+    assert left == {r.topic_key for r in waiting} - set(done)
+    assert csv_tables.read_csv_strict(spark, f"{folder}/out", S.EXAM_ROW).count() == 3
+
+
+def test_topics_of_a_document_have_the_keys_of_extraction(spark, folder):
+    paths = ["b.md", "a.md", "b.md", "a.md", "b.md"]
+    topics = [{"file_path": p, "topic": {"title": f"t{i}", "description": "d"}} for i, p in enumerate(paths)]
+    text_file(spark, f"{folder}/topics.json", json.dumps({"topics": topics}))
+    rows = jobs.load_topics(spark, f"{folder}/topics.json", f"{folder}/work").collect()
+    assert {r.title: r.topic_key for r in rows} == {"t0": "b.md:0", "t1": "a.md:0", "t2": "b.md:1", "t3": "a.md:1", "t4": "b.md:2"}
