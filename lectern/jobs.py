@@ -57,8 +57,9 @@ def load_records(spark: SparkSession, path: str, layout: str) -> DataFrame:
 
 def load_documents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """file_path, text and file_pos of the documents, in one pass over the small files."""
+    read = corpus.read_packed if args.documents_as == "packed" else corpus.read_texts
     texts = stage_once(
-        spark, f"{args.work}/texts", lambda: corpus.read_texts(spark, args.documents), [Files(spark, (args.documents,))]
+        spark, f"{args.work}/texts", lambda: read(spark, args.documents), [Files(spark, (args.documents,)), args.documents_as]
     )
     order = with_position(texts.select("file_path"), ["file_path"], f"{args.work}/files", "file_pos")
     return texts.join(order, "file_path")
@@ -73,7 +74,7 @@ def document_stages(spark: SparkSession, work: str) -> dict[str, DataFrame]:
 
 
 def report(spark: SparkSession, work: str, written: Mapping[str, DataFrame], observed: Mapping[str, int]) -> DataFrame:
-    """Rows by stage, shown and kept under ``WORK/counts``.
+    """Rows by stage, kept under ``WORK/counts``.
 
     ``written`` are tables that lie there already, so that no step runs again to be
     counted; ``observed`` were counted while they were written.
@@ -83,9 +84,11 @@ def report(spark: SparkSession, work: str, written: Mapping[str, DataFrame], obs
     seen = spark.createDataFrame(rows, "stage_pos int, stage string, rows long")
     counts = stage_funnel(**written).unionByName(seen).orderBy("stage_pos")
     counts.coalesce(1).write.mode("overwrite").json(f"{work}/counts")
-    kept = spark.read.schema("stage_pos int, stage string, rows long").json(f"{work}/counts").orderBy("stage_pos")
-    kept.show(last + len(rows), truncate=False)
-    return kept
+    return load_counts(spark, work)
+
+
+def load_counts(spark: SparkSession, work: str) -> DataFrame:
+    return spark.read.schema("stage_pos int, stage string, rows long").json(f"{work}/counts").orderBy("stage_pos")
 
 
 def rank_packages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -207,6 +210,9 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lectern.jobs")
     commands = top.add_subparsers(required=True)
 
+    def as_documents(sub):
+        sub.add_argument("--documents-as", choices=["files", "packed"], default="files", help="packed: JSON lines of file_path and text")
+
     def command(name, job, *needed, model=False, records=False):
         sub = commands.add_parser(name)
         sub.set_defaults(job=job)
@@ -227,6 +233,7 @@ def parser() -> argparse.ArgumentParser:
     rank.add_argument("--splittable", nargs="*", default=["crate_downloads", "dependencies", "versions"])
     rank.add_argument("--top", type=int, default=trending.TOP)
     make = command("synthesise", synthesise, "documents", model=True)
+    as_documents(make)
     make.add_argument("--max-topics", type=int)
     make.add_argument("--batch-size", type=int)
     solve = command("evaluate", evaluate, model=True, records=True)
@@ -240,6 +247,7 @@ def parser() -> argparse.ArgumentParser:
     given = examine.add_mutually_exclusive_group(required=True)
     given.add_argument("--documents", help="folder of documents, from which topics are made")
     given.add_argument("--topics", help="finished topics document")
+    as_documents(examine)
     examine.add_argument("--max-topics", type=int)
     examine.add_argument("--batch-size", type=int, default=EXAM_BATCH, help="waiting topics in a batch")
     roll = command("rollouts", build_rollouts, "exams", "outcomes", "image", "project-dir", "library-dir")
@@ -253,6 +261,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     apply_runtime_settings(session)
     result = args.job(session, args)
     result.show(25, truncate=100)
+    work = getattr(args, "work", None)
+    if work and path_exists(session, f"{work}/counts"):
+        load_counts(session, work).show(25, truncate=False)
     return result
 
 

@@ -25,6 +25,7 @@ DEPENDENCIES = optional(version_id=_L, crate_id=_L)
 VERSIONS = optional(id=_L, crate_id=_L)
 
 # Records.
+DOCUMENT = required(file_path=_S, text=_S)
 TOPIC = required(title=_S, description=_S)
 TOPIC_ENTITY = required(file_path=_S, topic=TOPIC)
 QA = required(question=_S, answer=_S)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern import schemas as S
+from lectern.sources.json_records import load_json_lines, save_json_lines
+
 
 def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
     """``file_path`` and ``text`` of every file under the given paths."""
@@ -34,3 +37,20 @@ def write_texts(
         .partitionBy(name)
         .text(path)
     )
+
+
+def write_packed(df: DataFrame, path: str) -> None:
+    """``file_path`` and ``text`` of many documents to a file, one JSON line each.
+
+    As many files as the input has partitions, however many documents there are;
+    line breaks inside a text are escaped, so texts come back as they were.
+    """
+    save_json_lines(df.select(*S.DOCUMENT.names), path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """Documents written by ``write_packed``; large files are split over tasks.
+
+    A line without one of the two fields stops the job.
+    """
+    return load_json_lines(spark, path, S.DOCUMENT)

@@ -130,3 +130,16 @@ class RecordJudge(Answers):
 
 def model(kind: type, max_attempts: int = 1) -> CallableModel:
     return CallableModel(load=kind, max_attempts=max_attempts)
+
+
+#: By step, as the jobs take them (``--model standins.models:STEPS``).
+STEPS = {
+    "select_documents": model(DocumentChoice),
+    "extract_topics": model(TopicExtraction),
+    "judge_topics": model(Usefulness),
+    "generate_qa": model(Questions, 3),
+    "hindsight_reasoning": model(Reasoning, 3),
+    "answer_questions": model(Solver),
+    "judge_answers": model(AnswerJudge),
+    "verify_records": model(RecordJudge),
+}

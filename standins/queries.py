@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern import jobs
 from lectern import schemas as S
 from lectern.functions import scalars, text as texts
 from lectern.functions.nested import first_content, items_of_kind
@@ -36,11 +37,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 REGISTRY_CUTOFF = "1995-03-01 00:00:00"
+SFT_WORDS = 100
 CLOCK = "yyyy-MM-dd HH:mm:ss"
 KEYED_QRA = T.StructType([T.StructField("qa_key", T.StringType(), False), *S.QRA.fields])
 
 
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None, raw: bool = False) -> Callable[[Query], Query]:
+    """Register a query; ``raw`` SQL has its views already."""
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_runtime_settings(spark)
@@ -49,7 +52,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         key = name or function.__name__
         QUERIES[key] = run
         if sql is not None:
-            ORACLES[key] = with_views(sql, "duckdb")
+            ORACLES[key] = sql if raw else with_views(sql, "duckdb")
         return run
 
     return register
@@ -965,3 +968,90 @@ def rollout_dataset(spark, d):
     outcomes = view(spark, d, "attempts").join(rows.select("topic_key", "id"), "topic_key")
     made = training.rollout_set(rows, outcomes, "base", "/srv/practice", "/srv/lib")
     return made.select("id", "attempt", "reward", F.round("advantage", 6).alias("advantage"))
+
+
+# -- whole workflows from files to files -------------------------------------
+
+def run_job(spark: SparkSession, *args: str) -> str:
+    """Run a job as from the shell; returns its output folder."""
+    out = fresh_path(spark, "out")
+    given = jobs.parser().parse_args([*args, "--out", out])
+    given.job(spark, given)
+    return out
+
+
+def model_job(spark: SparkSession, *args: str) -> str:
+    return run_job(spark, *args, "--work", fresh_path(spark, "work"), "--model", "standins.models:STEPS")
+
+
+def packed_docs(spark: SparkSession, d: str) -> str:
+    path = fresh_path(spark, "packed")
+    corpus.write_packed(view(spark, d, "docs"), path)
+    return path
+
+
+def qra_lines(spark: SparkSession, d: str) -> str:
+    path = fresh_path(spark, "records")
+    json_records.save_json_lines(view(spark, d, "qra").select(*KEYED_QRA.names), path)
+    return path
+
+
+@query("""
+select file_path, length(text) as chars, md5(text) as content from docs where text is not null""")
+def packed_corpus_roundtrip(spark, d):
+    path = fresh_path(spark, "packed")
+    corpus.write_packed(view(spark, d, "docs").where("text is not null"), path)
+    return corpus.read_packed(spark, path).select(
+        "file_path", F.length("text").cast("long").alias("chars"), F.md5("text").alias("content"))
+
+
+@query(ORACLES["qra_synthesis"], raw=True)
+def qra_synthesis_files(spark, d):
+    out = model_job(spark, "synthesise", "--documents", packed_docs(spark, d), "--documents-as", "packed", "--batch-size", "20000")
+    return json_records.load_json_lines(spark, out, KEYED_QRA).select("qa_key", "question", "answer", "reasoning")
+
+
+@query(ORACLES["qra_evaluation"], raw=True)
+def qra_evaluation_files(spark, d):
+    out = model_job(spark, "evaluate", "--records", qra_lines(spark, d), "--layout", "lines")
+    written = json_records.load_json_lines(spark, out, S.SOLVE_RESULT)
+    return metrics.accuracy_summary(written).withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query(ORACLES["qra_verification_report"], raw=True)
+def qra_verification_files(spark, d):
+    out = model_job(spark, "verify", "--records", qra_lines(spark, d), "--layout", "lines")
+    return spark.read.schema("qa_key string, status string, feedback string").json(out)
+
+
+@query("select id, topic_title, file_path, question, solution_commit, problem_commit, status from exam_table")
+def exam_set_files(spark, d):
+    outcomes = fresh_path(spark, "outcomes")
+    view(spark, d, "exam_candidates").write.parquet(outcomes)
+    out = model_job(spark, "exam-set", "--documents", packed_docs(spark, d), "--documents-as", "packed",
+                    "--outcomes", outcomes, "--image", "base")
+    return csv_tables.read_csv_strict(spark, out, S.EXAM_ROW).select(
+        "id", "topic_title", "file_path", "question", "solution_commit", "problem_commit", "status")
+
+
+@query(f"""
+select '{texts.DEFAULT_SYSTEM_PROMPT}' as system_text, question as user_text,
+       concat('<think>', reasoning, '</think>', answer) as assistant_text
+from qra
+where len(regexp_extract_all(concat('{texts.DEFAULT_SYSTEM_PROMPT}', chr(10), question, chr(10), '<think>', reasoning,
+                                    '</think>', answer), '[^ \\n]+')) <= {SFT_WORDS}""")
+def sft_dataset_files(spark, d):
+    out = run_job(spark, "training-set", "--records", qra_lines(spark, d), "--layout", "lines",
+                  "--max-length", str(SFT_WORDS), "--on-exceed", "drop")
+    return flat_messages(training_sets.read_training_set(spark, out).withColumn("qa_key", F.lit(0))).drop("qa_key")
+
+
+@query(ORACLES["rollout_dataset"], raw=True)
+def rollout_dataset_files(spark, d):
+    table, outcomes = fresh_path(spark, "exams"), fresh_path(spark, "outcomes")
+    rows = view(spark, d, "exam_table")
+    csv_tables.write_csv(rows.select(*S.EXAM_ROW.names), table)
+    view(spark, d, "attempts").join(rows.select("topic_key", "id"), "topic_key").select("id", "attempt", "success").write.parquet(outcomes)
+    out = run_job(spark, "rollouts", "--exams", table, "--outcomes", outcomes, "--image", "base",
+                  "--project-dir", "/srv/practice", "--library-dir", "/srv/lib")
+    return spark.read.parquet(out).select("id", "attempt", "reward", F.round("advantage", 6).alias("advantage"))

@@ -10,20 +10,8 @@ from standins.views import view
 
 from test_sources import text_file
 
-STEPS = {
-    "select_documents": M.model(M.DocumentChoice),
-    "extract_topics": M.model(M.TopicExtraction),
-    "judge_topics": M.model(M.Usefulness),
-    "generate_qa": M.model(M.Questions, 3),
-    "hindsight_reasoning": M.model(M.Reasoning, 3),
-    "answer_questions": M.model(M.Solver),
-    "judge_answers": M.model(M.AnswerJudge),
-    "verify_records": M.model(M.RecordJudge),
-}
-
-
 def steps(spark):
-    return STEPS
+    return M.STEPS
 
 
 def test_rank_packages(spark, small, folder):
