@@ -135,15 +135,16 @@ def csv_roundtrip(spark, d):
 
 
 @query("""
-select d.file_pos, coalesce(length(u.text) + 1, 0) as chars,
-       md5(case when u.text is null then '' else concat(u.text, chr(10)) end) as content
-from docs d left join useful_docs u on u.file_pos = d.file_pos""")
+select file_pos, coalesce(length(text) + 1, 0) as chars, md5(coalesce(text || chr(10), '')) as content
+from (select file_pos, text from docs union all select -1 - file_pos, null from docs)""")
 def text_corpus_load(spark, d):
     path = fresh_path(spark, "texts")
-    corpus.write_texts(view(spark, d, "useful_docs"), path, "file_pos")
+    docs = view(spark, d, "docs")
+    corpus.write_texts(docs.where("text is not null"), path, "file_pos")
     place = F.regexp_extract("file_path", r"file_pos=(\d+)", 1).cast("long")
     stored = corpus.read_texts(spark, path).withColumn("file_pos", place)
-    listed = view(spark, d, "docs").select("file_pos")
+    # Half of what is listed has no file.
+    listed = docs.select(F.explode(F.array("file_pos", F.lit(-1) - F.col("file_pos"))).alias("file_pos"))
     return corpus.texts_of(listed, stored, "file_pos").select(
         "file_pos", F.length("text").cast("long").alias("chars"), F.md5("text").alias("content")
     )
@@ -351,13 +352,10 @@ def failure_status(spark, d):
     )
 
 
-@query("""
-select doc_id, case when lang = 'de' then null else strlen(text) end as text_bytes
-from documents""")
+@query("select doc_id, strlen(text) as text_bytes from documents")
 def scalar_udf(spark, d):
     measure = scalars.vectorised(lambda value: len(value.encode()), "long")
-    value = F.when(F.col("lang") != "de", F.col("text"))
-    return table(spark, d, "documents").select("doc_id", measure(value).alias("text_bytes"))
+    return table(spark, d, "documents").select("doc_id", measure("text").alias("text_bytes"))
 
 
 # -- joins -------------------------------------------------------------------
@@ -537,7 +535,7 @@ def explode_topics(spark, d):
     topics = F.transform(lines, lambda line: F.struct(
         F.split_part(line, F.lit("."), F.lit(1)).alias("title"), line.alias("description")
     ))
-    nested = view(spark, d, "useful_docs").select("file_path", topics.alias("topics"))
+    nested = view(spark, d, "docs").select("file_path", topics.alias("topics"))
     rows = R.explode_with_parent(nested, "topics", "topic_pos", "topic")
     return rows.select("file_path", F.col("topic_pos").cast("long").alias("topic_pos"), "topic.title")
 
@@ -615,7 +613,7 @@ def select_documents(spark, d):
 @query("select topic_key, title, description from topics")
 def extract_topics(spark, d):
     extracted = curation.extract_topics(
-        view(spark, d, "useful_docs"), M.model(M.TopicExtraction), fresh_path(spark, "m2")
+        view(spark, d, "docs"), M.model(M.TopicExtraction), fresh_path(spark, "m2")
     )
     return curation.topic_rows(extracted).select("topic_key", "title", "description")
 
@@ -901,7 +899,11 @@ def synthesis_models() -> synthesis.SynthesisModels:
     )
 
 
-@query("select qa_key, question, answer, reasoning from qra")
+#: What the stand-in for the selection of documents keeps.
+SELECTED = "file_path in (select file_path from useful_docs)"
+
+
+@query(f"select qa_key, question, answer, reasoning from qra where {SELECTED}")
 def qra_synthesis(spark, d):
     made = synthesis.qra_records(
         view(spark, d, "docs"), synthesis_models(), fresh_path(spark, "synthesis"), max_topics=None
@@ -1024,7 +1026,7 @@ def qra_verification_files(spark, d):
     return spark.read.schema("qa_key string, status string, feedback string").json(out)
 
 
-@query("select id, topic_title, file_path, question, solution_commit, problem_commit, status from exam_table")
+@query(f"select id, topic_title, file_path, question, solution_commit, problem_commit, status from exam_table where {SELECTED}")
 def exam_set_files(spark, d):
     outcomes = fresh_path(spark, "outcomes")
     view(spark, d, "exam_candidates").write.parquet(outcomes)

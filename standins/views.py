@@ -47,14 +47,14 @@ from documents""",
     "doc_lines": {
         "spark": """
 select file_pos, file_path, cast(topic_pos as bigint) as topic_pos, line
-from useful_docs
+from docs
 lateral view posexplode(filter(split(text, '\\n'), x -> length(x) > 0)) t as topic_pos, line""",
         "duckdb": """
 select file_pos, file_path,
        generate_subscripts(list_filter(string_split(text, chr(10)), lambda x: length(x) > 0), 1)
          - 1 as topic_pos,
        unnest(list_filter(string_split(text, chr(10)), lambda x: length(x) > 0)) as line
-from useful_docs""",
+from docs""",
     },
     "topics": """
 select file_pos, file_path, topic_pos,

@@ -17,6 +17,11 @@ from standins.views import view
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def selected(rows):
+    """Rows of the documents that the stand-in selection keeps."""
+    return rows.where("substr(md5(file_path), 1, 1) < 'c'")
+
+
 def executed_plan(df):
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
@@ -97,7 +102,7 @@ def test_trending_edge_cases(spark):
 def test_synthesis_takes_topics_in_input_order(spark, small, folder):
     docs = view(spark, small, "docs")
     made = synthesis.qra_records(docs, synthesis_models(), folder, max_topics=40)
-    first = view(spark, small, "topics").orderBy("file_pos", "topic_pos").limit(40)
+    first = selected(view(spark, small, "topics")).orderBy("file_pos", "topic_pos").limit(40)
     wanted = view(spark, small, "qra").join(first, "topic_key", "left_semi")
     assert keys(made) == keys(wanted) and made.count() > 0
 
@@ -105,7 +110,7 @@ def test_synthesis_takes_topics_in_input_order(spark, small, folder):
 def test_synthesis_leaves_out_topics_dispatched_elsewhere(spark, small, folder):
     models = replace(synthesis_models(), dispatch=M.model(M.ProblemType))
     made = synthesis.qra_records(view(spark, small, "docs"), models, folder, max_topics=None)
-    wanted = view(spark, small, "qra").where(
+    wanted = selected(view(spark, small, "qra")).where(
         "substr(md5(concat('type:', topic_key)), 1, 1) >= '8'")
     assert keys(made) == keys(wanted) and made.count() > 0
 
@@ -161,7 +166,7 @@ def test_other_failure_drops_the_whole_topic(spark, small, folder):
         *[M.model(k, 3) for k in (M.DocumentChoice, M.TopicExtraction, M.Usefulness, M.Questions)],
         CallableModel(Broken, max_attempts=3))
     made = synthesis.qra_records(view(spark, small, "docs"), models, folder, max_topics=None)
-    wanted = view(spark, small, "qra").where(F.col("topic_key") != topic)
+    wanted = selected(view(spark, small, "qra")).where(F.col("topic_key") != topic)
     assert keys(made) == keys(wanted)
 
 
