@@ -91,17 +91,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rest = plan.where("rest > 0").select("source_key", "rest")
     outer = stored(_cell(rest, rows, "outer", F.lit(0)).select(
         "source_key", "rest", F.col("outer").alias("outer_end"), F.col("start").alias("outer_start")), "outer")
-    edge = join_per_key(rows, outer, "source_key").where("outer = outer_end")
+    # The rows of one outer cell a source, written: what is ordered below starts from these few, not from a
+    # join of all rows, which adaptive execution could not split under a window.
+    ends = outer.select("source_key", "outer_end")
+    edge = stored(join_per_key(rows, ends, "source_key").where("outer = outer_end").drop("outer_end"), "edge")
     inner = stored(_cell(outer, edge, "inner", F.col("outer_start")).select(
         "source_key", "outer_end", F.col("inner").alias("inner_end"), F.col("start").alias("inner_start")), "inner")
     cuts = plan.join(inner, "source_key", "left")
-    placed = join_per_key(rows, cuts, "source_key").withColumn(
-        "side", F.expr("case when outer_end is null or outer > outer_end then 1 when outer < outer_end then -1 "
-                       "when inner > inner_end then 1 when inner < inner_end then -1 else 0 end"))
+    side = F.expr("case when outer_end is null or outer > outer_end then 1 when outer < outer_end then -1 "
+                  "when inner > inner_end then 1 when inner < inner_end then -1 else 0 end")
     upto = W.partitionBy("source_key").orderBy("order", "row_id", "size").rowsBetween(W.unboundedPreceding, -1)
     # Adding the source's size for the fraction: documents before the end count in full.
-    clear = placed.where("side <> 0").withColumn("part", F.when(F.col("side") < 0, F.col("size")).otherwise(F.lit(0)))
-    ending = placed.where("side = 0").withColumn("earlier", F.col("inner_start") + F.coalesce(F.sum("size").over(upto), F.lit(0))).withColumn(
+    clear = join_per_key(rows, cuts, "source_key").withColumn("side", side).where("side <> 0").withColumn(
+        "part", F.when(F.col("side") < 0, F.col("size")).otherwise(F.lit(0))).drop("side")
+    ending = join_per_key(edge, cuts, "source_key").where("inner = inner_end").withColumn(
+        "earlier", F.col("inner_start") + F.coalesce(F.sum("size").over(upto), F.lit(0))).withColumn(
         "part", F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("earlier")))).drop("earlier")
     return clear.unionByName(ending).select(
         "row_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).cast("long").alias("taken"))

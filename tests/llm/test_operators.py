@@ -393,3 +393,21 @@ def test_digest_is_of_the_kept_bytes(spark, texts):
     df = spark.createDataFrame(texts[:5], "doc_id long, text string")
     for r in without_repeats(df).select("kept", F.sha2("kept", 256).alias("h")).collect():
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.h
+
+
+def test_mixing_orders_no_join_of_all_rows(spark):
+    """One source holds nearly all rows: under the windows are only the few rows where a source ends."""
+    rows = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.lit("one two three").alias("text"),
+        F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("source"))
+    got = mixed(rows)
+    assert got.count() == 30_000
+    taken = {r.source_size: (r.taken, r.target) for r in got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()}
+    assert all(abs(words - target) <= 1 for words, target in taken.values())
+    got.collect()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window ["):]
+    scans = [line for line in below.split("\n") if "Relation" in line]
+    assert scans and not any("outer#" in line and "text#" in line for line in scans)
+    edge = [line for line in scans if "order#" in line]
+    assert len(edge) == 1, "the rows below the window come from one written table"
