@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 
 def smallest_reachable(nodes, edges):
     parent = {n: n for n in nodes}
@@ -174,3 +176,21 @@ def periodic_runs(words, shortest=6, copies=4):
                 found.setdefault((i, j - i + p), p)
             i = max(j, i + 1)
     return sorted(((s, n, p) for (s, n), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def discriminant_scores(learned, x, pooled, diagonal):
+    """Probability of label 1 by Bayes' rule over two normal densities, from inverses and determinants.
+
+    ``learned`` has the rows of label 0 and of label 1.
+    """
+    total = sum(map(len, learned))
+    spread = [np.cov(rows, rowvar=False, bias=True) for rows in learned]
+    joint = sum(len(rows) / total * c for rows, c in zip(learned, spread))
+    logs = []
+    for rows, c in zip(learned, spread):
+        c = (1 - pooled) * c + pooled * joint
+        c = (1 - diagonal) * c + diagonal * (np.trace(c) / len(c) + 1e-6) * np.eye(len(c))
+        away = x - rows.mean(axis=0)
+        mahalanobis = np.einsum("ij,jk,ik->i", away, np.linalg.inv(c), away)
+        logs.append(np.log(len(rows) / total) - (mahalanobis + np.linalg.slogdet(c)[1]) / 2)
+    return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -40, 40)))

@@ -352,6 +352,21 @@ def test_quality_on_held_out_rows(spark, small):
     assert {r.doc_id for r in quality.good_documents(docs, labels).collect()} == {i for i, p in scored.items() if p}
 
 
+def test_quality_scores_agree_with_plain_densities(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels"))
+    label = {r.doc_id: r.quality for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    x = {i: quality.statistics((t or "").encode()) for i, t in texts.items()}
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in texts}
+    learned = [np.array([x[i] for i in texts if not held[i] and label.get(i) == kind]) for kind in (0, 1)]
+    ids = sorted(texts)
+    wanted = brute.discriminant_scores(learned, np.array([x[i] for i in ids]), quality.POOLED, quality.DIAGONAL)
+    got = {r.row_id: r for r in quality.quality_scores(docs, labels).collect()}
+    assert sorted(got) == ids
+    for i, score in zip(ids, wanted):
+        assert abs(got[i].score - score) < 1e-9 and got[i].held_out == held[i] and got[i].predicted == (score >= 0.7)
+
+
 def test_quality_without_labels_and_with_odd_texts(spark, docs):
     labels = spark.createDataFrame([(0, None), (None, 1), (1, 7)], "doc_id long, quality int")
     assert {r.score for r in quality.quality_scores(docs, labels).collect()} == {0.5}
