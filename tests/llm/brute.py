@@ -194,3 +194,42 @@ def discriminant_scores(learned, x, pooled, diagonal):
         mahalanobis = np.einsum("ij,jk,ik->i", away, np.linalg.inv(c), away)
         logs.append(np.log(len(rows) / total) - (mahalanobis + np.linalg.slogdet(c)[1]) / 2)
     return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -40, 40)))
+
+
+def letter_grams(text, gram=3):
+    """Counts of the n-grams of the lower-case letters, with one blank for every other run and at both ends."""
+    text = (text or "").lower()
+    if not any(c.isalpha() for c in text):
+        return Counter()
+    clean = " " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text)) + " "
+    return Counter(clean[i:i + gram] for i in range(len(clean) - gram + 1))
+
+
+def bundle(grams, letter, dimensions):
+    """Sum of the n-gram vectors: product of the letters' vectors, each rotated by its distance from the end."""
+    out = np.zeros(dimensions)
+    for gram, n in grams.items():
+        vector = np.ones(dimensions)
+        for back, c in enumerate(reversed(gram)):
+            vector = vector * np.roll(letter(ord(c)), back)
+        out += n * vector
+    return out
+
+
+def languages(rows, letter, dimensions):
+    """id -> (language or und, cosine) of rows (id, text, lang, learned from)."""
+    bundles = {i: bundle(letter_grams(text), letter, dimensions) for i, text, _, _ in rows}
+    sums = defaultdict(lambda: np.zeros(dimensions))
+    for i, text, lang, learned in rows:
+        if learned and text is not None and lang is not None:
+            sums[lang] = sums[lang] + bundles[i]
+    out = {}
+    for i, text, _, _ in rows:
+        if not letter_grams(text) or not sums:
+            out[i] = ("und", 0.0)
+            continue
+        own = bundles[i] / np.linalg.norm(bundles[i])
+        cosines = {lang: float(own @ total / max(np.linalg.norm(total), 1e-12)) for lang, total in sums.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        out[i] = (best, min(1.0, max(0.0, cosines[best])))
+    return out

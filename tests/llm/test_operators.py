@@ -13,7 +13,7 @@ from lectern.llm import quality
 from lectern.llm.components import components
 from lectern.llm.decontamination import contamination
 from lectern.llm.jaccard_join import jaccard_components, light_boundary, light_links, linkable_sets
-from lectern.llm.language_id import identify
+from lectern.llm.language_id import identify, letter_vector
 from lectern.llm.license_scan import license_scan
 from lectern.llm.line_dedup import dropped_lines, first_copies, without_lines, word_lines
 from lectern.llm.mixing import mixed, source_targets
@@ -426,3 +426,17 @@ def test_mixing_orders_no_join_of_all_rows(spark):
     assert scans and not any("outer#" in line and "text#" in line for line in scans)
     edge = [line for line in scans if "order#" in line]
     assert len(edge) == 1, "the rows below the window come from one written table"
+
+
+def test_languages_agree_with_plain_bundles(spark, small):
+    """Whole texts of a small table, and odd ones: none, blank, no letter, short, repeated rows, a tie of two languages."""
+    own = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    odd = [None, "", "  12 !", "a", "Ünïcode 𝒳 text, straße", "same words here", "same words here", "\U00020000\U00020001"]
+    rows = own + [(1000 + i, t, "aa" if i % 2 else "bb") for i, t in enumerate(odd)] + [(2000, "no label", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    wanted = brute.languages([(i, t, lang, not held[i]) for i, t, lang in rows], lambda c: letter_vector(c, 256).astype(float), 256)
+    got = {r.row_id: r for r in identify(docs, dimensions=256).collect()}
+    assert got.keys() == wanted.keys()
+    for i, (lang, score) in wanted.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-6 and got[i].held_out == held[i], i
