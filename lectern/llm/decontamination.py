@@ -71,9 +71,15 @@ def _finds(rows: DataFrame, shingles: DataFrame, size: int, broadcast: bool) ->
     wanted = shingles.where(F.col("size") == size).select(F.col("hash").alias("wanted"), "shingle")
     hashes = F.transform("words", lambda _, i: _hash_at("words", i, size))
     places = rows.select("row", "row_id", "words", F.posexplode_outer(hashes).alias("pos", "hash"))
-    found = places.join(F.broadcast(wanted) if broadcast else wanted, (
-        (F.col("hash") == F.col("wanted"))
-        & (F.array_join(F.slice("words", F.col("pos") + 1, size), " ") == F.col("shingle"))), "left")
+    text = F.array_join(F.slice("words", F.col("pos") + 1, size), " ")
+    if not broadcast:
+        # Shuffled: a place takes its own few words along, not those of its document.
+        places = places.select("row", "row_id", F.size("words").cast("long").alias("n_words"), "pos", "hash", text.alias("own"))
+        found = places.join(wanted, (F.col("hash") == F.col("wanted")) & (F.col("own") == F.col("shingle")), "left")
+        return found.where("wanted is not null or coalesce(pos, 0) = 0").select(
+            "row", "row_id", "n_words", "pos", F.when(F.col("wanted").isNotNull(), F.col("hash")).alias("hash"),
+            F.lit(size).alias("size"))
+    found = places.join(F.broadcast(wanted), (F.col("hash") == F.col("wanted")) & (text == F.col("shingle")), "left")
     return found.where("wanted is not null or coalesce(pos, 0) = 0").select(
         "row", "row_id", F.size("words").cast("long").alias("n_words"), "pos",
         F.when(F.col("wanted").isNotNull(), F.col("hash")).alias("hash"), F.lit(size).alias("size"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import quality
+from lectern.llm import decontamination, line_dedup, quality, scratch
 from lectern.llm.components import components
 from lectern.llm.decontamination import contamination
 from lectern.llm.jaccard_join import jaccard_components, light_boundary, light_links, linkable_sets
@@ -164,6 +164,37 @@ def test_vector_search_of_few_and_no_rows(spark):
     assert top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_contamination_beyond_the_broadcast_bound(spark, docs, texts, monkeypatch):
+    """The shuffled path gives the same, and no array of words goes through a shuffle."""
+    items = spark.createDataFrame(
+        [(i, " ".join((t or "").split()[3:3 + n])) for i, (_, t) in enumerate(texts[:40]) for n in (4, 10, 25)], "item_id long, text string")
+    wanted = sorted(map(str, contamination(docs, items).collect()))
+    plans, plain = [], decontamination._finds
+
+    def watched(*args):
+        plans.append(plain(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontamination, "_finds", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, contamination(docs, items).collect())) == wanted
+        text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanged = [text.split("\n")[i + 1] for i, line in enumerate(text.split("\n")) if "Exchange" in line]
+    assert exchanged and not any("words#" in line.split("[", 1)[-1].split(" AS ")[0] and "own#" not in line for line in exchanged)
+
+
+def test_lines_and_sets_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    lines, sets = (sorted(map(str, op(docs).collect())) for op in (dropped_lines, jaccard_components))
+    for module in (scratch, line_dedup):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, dropped_lines(docs).collect())) == lines
+    assert sorted(map(str, jaccard_components(docs).collect())) == sets
+
+
 def test_contamination(spark, docs, texts):
     items = [(1, " ".join(texts[3][1].split()[5:25])), (2, "W1  w2, w3"), (3, None), (4, "!!"), (5, "nowhere to be found at all in any of these texts"),
              (6, "Own0x1"), (10, " ".join(texts[3][1].split()[5:25])), (None, "a B c")]
