@@ -187,12 +187,21 @@ def test_contamination_beyond_the_broadcast_bound(spark, docs, texts, monkeypatc
     assert exchanged and not any("words#" in line.split("[", 1)[-1].split(" AS ")[0] and "own#" not in line for line in exchanged)
 
 
-def test_lines_and_sets_beyond_the_broadcast_bound(spark, docs, monkeypatch):
-    lines, sets = (sorted(map(str, op(docs).collect())) for op in (dropped_lines, jaccard_components))
+def test_keys_and_copies_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = spark.range(60).select(F.when(F.col("id") % 9 > 0, F.col("id") % 9).alias("k"), "id")
+    keys = stored(spark.createDataFrame([(1,), (4,), (77,)], "k long"), "keys")
+    repeated = spark.createDataFrame([(1, "one two\nthree"), (1, "one two\nthree"), (2, "one two")], "doc_id long, text string")
+    lines = stored(word_lines(repeated, "doc_id", "text"), "lines")
+
+    def both():
+        return (sorted(map(str, scratch.with_keys(rows, keys, "k").select("k", "id").collect())),
+                sorted(map(str, first_copies(lines).select("row_id", "line").collect())))
+
+    wanted = both()
+    assert len(wanted[0]) == 14 and len(wanted[1]) == 3
     for module in (scratch, line_dedup):
         monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
-    assert sorted(map(str, dropped_lines(docs).collect())) == lines
-    assert sorted(map(str, jaccard_components(docs).collect())) == sets
+    assert both() == wanted
 
 
 def test_contamination(spark, docs, texts):
