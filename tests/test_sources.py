@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import threading
 from functools import partial
 from pathlib import Path
 
@@ -190,6 +191,35 @@ def test_batch_without_rows_counts_as_done(spark, folder):
     assert len(calls) == 2
 
 
+def test_copied_batches_share_micro_batches(spark, tmp_path):
+    df = spark.range(400).select(F.col("id").alias("k"))
+    for _ in range(2):
+        done = checkpointed_batches(df, str(tmp_path), ["k"], 10)
+        assert sorted((r.k, r.batch_id) for r in done.collect()) == [(k, k // 10) for k in range(400)]
+    assert len(list(tmp_path.glob("*/log/commits/[0-9]*"))) == 1
+
+
+def test_batches_run_side_by_side_and_resume(spark, folder):
+    df = spark.range(60).select(F.col("id").alias("k"))
+    both, calls = threading.Barrier(2, timeout=60), []
+
+    def process(batch, work):
+        number = int(work.rpartition("/")[2])
+        calls.append(number)
+        if len(calls) <= 2:
+            both.wait()
+        if number == 3 and calls.count(3) == 1:
+            raise ValueError("lost")
+        return batch.withColumn("double", F.col("k") * 2)
+
+    with pytest.raises(StreamingQueryException, match="lost"):
+        checkpointed_batches(df, folder, ["k"], 10, process, ["double"], at_once=2)
+    done = checkpointed_batches(df, folder, ["k"], 10, process, ["double"], at_once=2)
+    assert sorted((r.k, r.double, r.batch_id) for r in done.collect()) == [(k, 2 * k, k // 10) for k in range(60)]
+    # Only the batch that was lost is processed again.
+    assert sorted(calls) == [0, 1, 2, 3, 3, 4, 5]
+
+
 def test_training_set_keeps_messages(spark, folder):
     from lectern.operators.records import as_conversational
 
