@@ -122,6 +122,22 @@ def test_texts(spark, folder):
     assert got == {"README.md": "# hi\nthere", "gone.md": ""}
 
 
+def test_written_texts_are_one_file_each(spark, tmp_path):
+    names = ["plain", "a/b:c=d%e", "\u00e4 \u65e5", "twice", "twice", None, ""]
+    df = spark.createDataFrame([(n, f"text\n{i}" if i else None) for i, n in enumerate(names)], "name string, text string")
+    corpus.write_texts(df, f"{tmp_path}/old", "name", tasks=4)
+    corpus.write_texts(df.where("name <> 'plain'"), f"{tmp_path}/old", "name", tasks=4)
+    corpus.write_texts(df, f"{tmp_path}/new", "name", tasks=4)
+    assert not (tmp_path / "old" / "name=plain").exists()
+    read = spark.read.text(f"{tmp_path}/new").groupBy("name").agg(F.sort_array(F.collect_list("value")).alias("lines"))
+    assert {r.name: r.lines for r in read.collect()} == {
+        "plain": ["", ], "a/b:c=d%e": ["1", "text"], "\u00e4 \u65e5": ["2", "text"], "twice": ["3", "4", "text", "text"], None: ["5", "6", "text", "text"]}
+    # Neither checksums nor anything else that has to be made and moved for each document.
+    assert len([f for f in (tmp_path / "new").glob("name=plain/*") if f.is_file()]) == 1
+    assert len(list((tmp_path / "new").glob("name=plain/.*"))) == 0
+    assert len(corpus.read_texts(spark, f"{tmp_path}/new").collect()) in (5, 6)
+
+
 def test_stage_is_built_once(spark, folder):
     built = []
 
