@@ -138,6 +138,21 @@ def test_written_texts_are_one_file_each(spark, tmp_path):
     assert len(corpus.read_texts(spark, f"{tmp_path}/new").collect()) in (5, 6)
 
 
+def test_json_documents_grow_with_the_text_not_with_the_files(spark, folder, monkeypatch):
+    from standins.queries import QUERIES
+    from standins.views import view
+
+    rows = [(i, "\n".join(f"Line {i}.{k}. More" for k in range(1 + i % 90)), "en", "web", 1) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    save, held = json_records.save_json_documents, []
+    monkeypatch.setattr(json_records, "save_json_documents", lambda df, path: (held.append(df.count()), save(df, path)))
+    read = QUERIES["json_records_load"](spark, folder)
+    names = ["qa_key", "question", "answer", "reasoning"]
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, view(spark, folder, "qra").select(*names).collect()))
+    assert held == [1]
+
+
 def test_stage_is_built_once(spark, folder):
     built = []
 
