@@ -1,11 +1,12 @@
 import sys
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lectern import schemas as S
-from lectern.operators import curation
+from lectern.operators import curation, model_stage
 from lectern.operators.model_stage import (
     AnswerStore,
     CallableModel,
@@ -359,3 +360,21 @@ def test_another_model_makes_a_stage_again(spark, folder):
 
     for reason in ("one", "two"):
         assert curation.judge_topics(topics, says(reason), f"{folder}/judged").first().reason == reason
+
+
+def test_answers_to_a_batch_are_handed_on_in_pieces(spark):
+    """Of a whole Arrow batch only the calls under way and one piece of answers are held."""
+    asked = []
+
+    class Loud:
+        def __call__(self, prompts):
+            asked.extend(prompts)
+            return [p + "x" * 100_000 for p in prompts]
+
+    call = model_stage._caller(CallableModel(Loud, batch_size=5, threads=2)).func
+    prompts = pd.Series([str(i) for i in range(200)])
+    pieces, seen = call(iter([prompts])), []
+    for piece in pieces:
+        seen += piece["response"].str.rstrip("x").tolist()
+        assert len(asked) <= len(seen) + 20
+    assert seen == prompts.tolist() == asked
