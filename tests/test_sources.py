@@ -153,6 +153,18 @@ def test_json_documents_grow_with_the_text_not_with_the_files(spark, folder, mon
     assert held == [1]
 
 
+def test_stages_and_packed_documents_are_written_small(spark, tmp_path):
+    """Of what a workflow writes, every byte counts at scale; the rows are the same."""
+    rows = [(f"d{i}.md", f"line {i}\n" * 200) for i in range(50)]
+    docs = spark.createDataFrame(rows, "file_path string, text string")
+    corpus.write_packed(docs, f"{tmp_path}/small", "gzip")
+    assert sum(f.stat().st_size for f in (tmp_path / "small").glob("part-*")) < sum(len(text) for _, text in rows) / 5
+    read = corpus.read_packed(spark, f"{tmp_path}/small")
+    assert sorted(map(tuple, read.collect())) == sorted(rows)
+    stage_once(spark, f"{tmp_path}/stage", lambda: read, [read])
+    assert {f.suffixes[-2] for f in (tmp_path / "stage").glob("part-*.parquet")} == {".zstd"}
+
+
 def test_stage_is_built_once(spark, folder):
     built = []
 
