@@ -263,6 +263,29 @@ def test_batches_run_side_by_side_and_resume(spark, folder):
     assert sorted(calls) == [0, 1, 2, 3, 3, 4, 5]
 
 
+def test_batches_together_are_one_table_and_resume(spark, folder):
+    df = spark.range(95).select(F.col("id").alias("k"))
+    calls = []
+
+    def process(batch, work):
+        numbers = sorted(r[0] for r in batch.select("batch_id").distinct().collect())
+        calls.append(numbers)
+        if numbers[0] == 4 and calls.count(numbers) == 1:
+            raise ValueError("lost")
+        return batch.where("k <> 30").withColumn("double", F.col("k") * 2)
+
+    def run():
+        return checkpointed_batches(df, folder, ["k"], 10, process, ["double"], at_once=2, together=4)
+
+    with pytest.raises(StreamingQueryException, match="lost"):
+        run()
+    for _ in range(2):
+        rows = sorted((r.k, r.double, r.batch_id) for r in run().collect())
+        assert rows == [(k, 2 * k, k // 10) for k in range(95) if k != 30]
+    # Ten batches are three tables; only the one that was lost goes through again.
+    assert sorted(calls) == [[0, 1, 2, 3], [4, 5, 6, 7], [4, 5, 6, 7], [8, 9]]
+
+
 def test_training_set_keeps_messages(spark, folder):
     from lectern.operators.records import as_conversational
 
