@@ -379,3 +379,38 @@ def test_answers_to_a_batch_are_handed_on_in_pieces(spark):
         seen += piece["response"].str.rstrip("x").tolist()
         assert len(asked) <= len(seen) + 20
     assert seen == prompts.tolist() and sorted(asked) == sorted(seen)
+
+
+class Echo:
+    def __call__(self, prompts):
+        return list(prompts)
+
+
+def test_rows_of_an_earlier_step_are_called_where_they_lie(spark, folder):
+    spark.range(50).select(F.concat(F.lit("p"), F.col("id")).alias("k")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    there = run_model(rows, "k", F.col("k"), CallableModel(Echo), spread=False)
+    assert "Exchange" not in there._jdf.queryExecution().executedPlan().toString()
+    spread = run_model(rows, "k", F.col("k"), CallableModel(Echo))
+    assert sorted(there.collect()) == sorted(spread.collect())
+    bound = run_model(rows, "k", F.col("k"), CallableModel(Echo), concurrency=2, spread=False)
+    assert bound.rdd.getNumPartitions() == 2
+
+
+def test_few_broken_groups_shuffle_no_other_row(spark, folder, monkeypatch):
+    rows = [(f"g{i % 7}" if i % 11 else None, i, "boom" if i == 3 else None, "other" if i == 3 else None) for i in range(60)]
+    spark.createDataFrame(rows, "g string, k long, error string, error_kind string").write.parquet(folder)
+    written = spark.read.parquet(folder)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        few = apply_error_policy(written, "drop_group", "g")
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(model_stage, "BROADCAST_GROUPS", 0)
+        many = apply_error_policy(written, "drop_group", "g")
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        expected = [i for i in range(60) if i % 7 != 3 or not i % 11]
+        assert [sorted(r.k for r in kept.collect()) for kept in (few, many)] == [expected, expected]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
