@@ -1,3 +1,4 @@
+import re
 import sys
 from dataclasses import fields, replace
 
@@ -55,6 +56,15 @@ def test_trending_plan(spark, small, folder):
     assert len(readers) == 1, "the readme is read by one scan and goes into no shuffle"
 
 
+def test_no_text_goes_into_the_joins_of_the_view(spark, small):
+    """The stand-in packages give the description alone to the join where the readme is only judged."""
+    best = trending.trending_packages(*registry(spark, small), cutoff="1995-03-01T00:00:00Z")
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    projects = [line for line in plan.splitlines() if "Project [" in line]
+    assert any("stringsplitsql(text#" in line for line in projects)
+    assert not any(re.search(r"(\[|, )text#", line) for line in projects)
+
+
 @pytest.mark.parametrize("splittable", [(), ("crate_downloads", "dependencies", "versions")])
 def test_trending_from_csv_dump(spark, small, folder, splittable):
     names = ("crates", "crate_downloads", "dependencies", "versions")
