@@ -480,3 +480,24 @@ def test_languages_agree_with_plain_bundles(spark, small):
     assert got.keys() == wanted.keys()
     for i, (lang, score) in wanted.items():
         assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-6 and got[i].held_out == held[i], i
+
+
+def test_counts_of_characters_rule_out_no_similar_pair(spark):
+    """Random pairs at all distances: none within the similarity is ruled out, and unrelated ones are."""
+    draw = random.Random(5)
+    letters = "abcdefgh é9中z"
+    rows = []
+    for _ in range(400):
+        one = "".join(draw.choice(letters) for _ in range(draw.randint(1, 60)))
+        two = list(one)
+        for _ in range(draw.randint(0, 8)):
+            at = draw.randrange(len(two) + 1)
+            two[at:at + draw.randint(0, 1)] = draw.choice(letters) * draw.randint(0, 1)
+        rows.append((one, "".join(two)))
+    rows += [("abab" * 20, "cdcd" * 20)]
+    pairs = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", F.levenshtein("a", "b").alias("d"), *[F.char_length(c).alias(f"{c}_chars") for c in "ab"],
+        *[line_dedup.char_counts(c).alias(f"{c}_counts") for c in "ab"]).select("*", line_dedup.may_be_similar("a", "b").alias("may")).collect()
+    similar = [r for r in pairs if r.d <= int(0.1 * max(len(r.a), len(r.b)) + 1e-9)]
+    assert len(similar) > 20 and all(r.may for r in similar)
+    assert not pairs[-1].may and sum(r.may for r in pairs) < len(pairs)
