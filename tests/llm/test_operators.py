@@ -501,3 +501,46 @@ def test_counts_of_characters_rule_out_no_similar_pair(spark):
     similar = [r for r in pairs if r.d <= int(0.1 * max(len(r.a), len(r.b)) + 1e-9)]
     assert len(similar) > 20 and all(r.may for r in similar)
     assert not pairs[-1].may and sum(r.may for r in pairs) < len(pairs)
+
+
+def test_unrelated_lines_with_a_common_run_are_no_candidates(spark):
+    """Lines of random words share one run: far apart it lists no pair, and at one place the sides rule the pair out."""
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij" if n % 2 else "qrstuvwxyz", k=6)) for _ in range(n))
+    run = "run of three"
+    lines = [f"{run} {words(40)}", f"{words(20)} {run} {words(20)}", f"{words(21)} {run} {words(19)}"]
+    near = lines[1].replace(run, f"x {run}")
+    rows = spark.createDataFrame(list(enumerate([*lines, near])), "node long, value string")
+    grams = line_dedup.line_grams(rows).join(rows, "node").where(F.expr(f"substr(value, start + 1, {len(run)})") == run).collect()
+    start = {g.node: g.start for g in grams}
+    assert all(line.index(run) == start[i] for i, line in enumerate([*lines, near]) if i in start)
+    text = {i: line for i, line in enumerate([*lines, near])}
+    pairs = [(a, b, len(text[a]), len(text[b]), text[a][:text[a].index(run)].count(" ") + 1, text[b][:text[b].index(run)].count(" ") + 1,
+              text[a].index(run), text[b].index(run), text[a], text[b]) for a, b in ((0, 1), (1, 2), (1, 3))]
+    names = "a long, b long, a_chars int, b_chars int, a_place int, b_place int, a_start int, b_start int, a_value string, b_value string"
+    met = spark.createDataFrame(pairs, names)
+    for p in "ab":
+        met = met.withColumn("left", F.expr(f"left({p}_value, {p}_start)")).withColumn("whole", F.col(f"{p}_value"))
+        before, whole = line_dedup.char_counts("left"), line_dedup.char_counts("whole")
+        met = met.withColumn(f"{p}_sides", F.concat(before, F.zip_with(whole, before, lambda x, y: x - y)))
+    got = met.select("a", "b", line_dedup._fits("a", "b").alias("fits"), line_dedup._sides_fit("a", "b").alias("sides")).collect()
+    assert [tuple(r) for r in got] == [(0, 1, False, False), (1, 2, True, False), (1, 3, True, True)]
+
+
+def test_similar_pairs_are_those_of_the_edit_distance(spark):
+    """Random lines with words put in, taken out and replaced, and with letters replaced."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdef", k=rng.randint(1, 6)))
+    pairs = []
+    for i in range(300):
+        words = [word() for _ in range(rng.randint(1, 40))]
+        other = list(words)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(other) + 1)
+            other[at:at + rng.randint(0, 1)] = [word()] * rng.randint(0, 1)
+        pairs.append((i, -1 - i, " ".join(words), " ".join(other) or "a"))
+    df = spark.createDataFrame(pairs, "a long, b long, a_value string, b_value string")
+    got = {r.a: r.similar for r in line_dedup.similar_pairs(df).collect()}
+    whole = df.select("a", (F.levenshtein("a_value", "b_value") <= F.floor(
+        0.1 * F.greatest(F.char_length("a_value"), F.char_length("b_value")) + 1e-9)).alias("similar")).collect()
+    assert got == {r.a: r.similar for r in whole} and 20 < sum(got.values()) < 280
