@@ -414,3 +414,21 @@ def test_few_broken_groups_shuffle_no_other_row(spark, folder, monkeypatch):
         assert [sorted(r.k for r in kept.collect()) for kept in (few, many)] == [expected, expected]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_bounded_tasks_take_a_large_table_in_waves(spark, folder, monkeypatch, stored):
+    """Each wave has ``concurrency`` tasks, so what one of them reads does not grow with the table."""
+    monkeypatch.setattr(model_stage, "WAVE_BYTES", 1)
+    monkeypatch.setattr(model_stage, "WAVE_ROWS", 100)
+    rows = spark.range(1000).select(F.concat(F.lit("p"), F.col("id")).alias("k"), F.lit(None).cast("string").alias("none")).coalesce(2)
+    reads = []
+    plain = model_stage._caller
+    monkeypatch.setattr(model_stage, "_caller", lambda model: reads.append(1) or plain(model))
+    options = {"store": AnswerStore(folder)} if stored else {"placed": "part"}
+    got = run_model(rows, "k", F.col("k"), CallableModel(Echo), concurrency=3, **options).collect()
+    assert sorted(r.k for r in got) == sorted(f"p{i}" for i in range(1000))
+    assert all(r.response == r.k and r.none is None for r in got)
+    assert len(reads) >= 10
+    if not stored:
+        assert {r.part for r in got} == {0, 1, 2}
