@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lectern.llm import components as lists
 from lectern.llm import decontamination, line_dedup, quality, scratch
 from lectern.llm.components import components
 from lectern.llm.decontamination import contamination
@@ -544,3 +545,70 @@ def test_similar_pairs_are_those_of_the_edit_distance(spark):
     whole = df.select("a", (F.levenshtein("a_value", "b_value") <= F.floor(
         0.1 * F.greatest(F.char_length("a_value"), F.char_length("b_value")) + 1e-9)).alias("similar")).collect()
     assert got == {r.a: r.similar for r in whole} and 20 < sum(got.values()) < 280
+
+
+def test_nodes_that_are_partly_linked_need_fewer_pairs(spark, monkeypatch):
+    """Eight lists of 300 nodes, a ninth of all pairs linked: with several pivots less than half as many candidates."""
+    linked = F.expr("pmod(xxhash64(a + b), 9) = 0")
+    entries = stored(spark.range(2400).select(
+        F.expr("id div 300").alias("key"), F.expr("id % 300").alias("node"), F.lit(0).alias("weight"), F.lit(1).alias("chars")), "entries")
+
+    def joined():
+        met = []
+
+        def confirm(candidates):
+            asked = stored(candidates.select("a", "b"), "asked")
+            met.append(asked.count())
+            return asked.where(linked)
+
+        links = lists.list_links(entries, ["chars"], lambda a, b: F.col(f"{a}_chars") == F.col(f"{b}_chars"), confirm)
+        return {r.node: r.label for r in components(links).collect()}, sum(met)
+
+    got, few = joined()
+    every = spark.range(300).select(F.col("id").alias("a")).crossJoin(spark.range(300).select(F.col("id").alias("b")))
+    wanted = brute.smallest_reachable(range(300), [tuple(r) for r in every.where("a < b").where(linked).collect()])
+    assert {i: got.get(i, i) for i in range(300)} == dict(wanted)
+    monkeypatch.setattr(lists, "PAIRS_AN_ENTRY", float("inf"))
+    again, many = joined()
+    assert again == got and 2 * few < many
+
+
+def test_rounds_with_several_pivots_lose_no_link(spark, docs, texts, monkeypatch):
+    """Near copies of which some are linked, in two places of the line and with runs that move."""
+    monkeypatch.setattr(lists, "PAIRS_AN_ENTRY", -1)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(500)]
+    rows = []
+    for length in (5, 14, 40):
+        base = rng.choices(words, k=length)
+        for _ in range(25):
+            other = list(base)
+            for _ in range(rng.randint(0, length // 6)):
+                at = rng.randrange(length)
+                other[at] = rng.choice(words) + rng.choice(["", " of"])
+            rows.append((len(rows), " ".join(other)))
+    wanted = linked_lines(rows)
+    assert 10 < sum(map(len, wanted.values())) < 70
+    got = {r.row_id: r.dropped for r in dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
+    some = {r.row_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert some == {i: label for i, (_, label) in brute.jaccard_components(texts).items()}
+
+
+def test_pairs_are_candidates_in_one_list_and_short_ones_by_their_counts(spark):
+    """Two lists of both lines list a similar pair once; lines of other characters are no candidates."""
+    names = ["key", "chars", "place", "start", "sides", "keys", "places", "starts"]
+    kinds = ["long", "int", "int", "int", "array<smallint>", "array<long>", "array<int>", "array<int>"]
+    schema = ", ".join(["a long", "b long", *[f"{p}_{n} {k}" for p in "ab" for n, k in zip(names, kinds)]])
+
+    def line(key, chars, sides, places):
+        return [key, chars, places[key - 1], 5 * places[key - 1], sides, [1, 2], places, [5 * p for p in places]]
+
+    alike, unlike, far = [10, 10, 40, 40], [5, 15, 20, 60], [40, 60]
+    rows = [(1, 2, *line(k, 100, alike, [4, 9]), *line(k, 100, alike, [4, 9])) for k in (1, 2)]
+    rows += [(3, 4, *line(k, 100, alike, [4, 9]), *line(k, 100, unlike, [4, 9])) for k in (1, 2)]
+    rows += [(5, 6, *line(k, 100, alike, far), *line(k, 100, alike, [4, 60])) for k in (1, 2)]
+    met = spark.createDataFrame(rows, schema)
+    got = met.where(line_dedup._fits_once("a", "b")).select("a", "a_key").collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (5, 2)]
+    assert met.where(line_dedup._sides_fit("a", "b")).groupBy("a").count().where("a = 3").isEmpty()
