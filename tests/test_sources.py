@@ -138,6 +138,27 @@ def test_written_texts_are_one_file_each(spark, tmp_path):
     assert len(corpus.read_texts(spark, f"{tmp_path}/new").collect()) in (5, 6)
 
 
+def test_written_texts_are_read_by_few_tasks(spark, tmp_path):
+    """Neither the listing nor the reading makes a task of every few files; the rows are those of the plain reader."""
+    rows = [(i, bytearray(t)) for i, t in enumerate([b"", b"\xef\xbb\xbfbom\r\n\n", b"\xff\xfe no text", "\u00e4\U0001d11e".encode(), b"\x00"] + [b"t"] * 395)]
+    df = spark.createDataFrame(rows, "file_pos long, b binary").select("file_pos", F.col("b").cast("string").alias("text"))
+    corpus.write_texts(df.union(spark.sql("select cast(null as long), 'no place'")), f"{tmp_path}/t", "file_pos")
+    before, tracker = spark.conf.get(corpus._LISTERS), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    read = corpus.read_texts(spark, f"{tmp_path}/t", written=True)
+    spark.sparkContext.setJobGroup("", "")
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(corpus._LISTERS) == before
+    assert stages and all(s.numTasks <= few for s in stages) and read.rdd.getNumPartitions() <= few
+
+    def listed(df):
+        return sorted((r.file_path, bytes(r.text)) for r in df.withColumn("text", F.col("text").cast("binary")).collect())
+
+    found = listed(read)
+    assert found == listed(corpus.read_texts(spark, f"{tmp_path}/t")) and len(found) == 401
+
+
 def test_json_documents_grow_with_the_text_not_with_the_files(spark, folder, monkeypatch):
     from standins.queries import QUERIES
     from standins.views import view
