@@ -528,6 +528,48 @@ def test_unrelated_lines_with_a_common_run_are_no_candidates(spark):
     assert [tuple(r) for r in got] == [(0, 1, False, False), (1, 2, True, False), (1, 3, True, True)]
 
 
+def test_near_copies_need_no_distance_of_whole_texts(spark):
+    """Its cost is the square of their length, and a third of all time went into it; the ways that cost less never find too much."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+
+    def edited(line, kinds, edits):
+        out = list(line)
+        for _ in range(edits):
+            i, kind = rng.randrange(len(out)), rng.choice(kinds)
+            if kind == "letter":
+                k = rng.randrange(len(out[i]))
+                out[i] = out[i][:k] + "\u00e9" + out[i][k + 1:]
+            elif kind == "drop":
+                del out[i]
+            elif kind == "twice":
+                out.insert(i, out[i])
+            else:
+                out.insert(i, rng.choice(words))
+        return " ".join(out)
+
+    rows = []
+    for n, kinds, edits in ((4000, ["letter"], 900), (60, ["letter", "drop", "add"], 4), (60, ["letter", "drop", "twice"], 12), (30, ["add"], 9), (8, ["drop"], 1), (3, ["twice"], 1)):
+        for _ in range(1 if n > 1000 else 12):
+            line = [rng.choice(words) for _ in range(n)]
+            rows.append((len(rows), " ".join(line), edited(line, kinds, edits)))
+    line = " ".join(words)
+    rows += [(len(rows) + k, *pair) for k, pair in enumerate([
+        (line, line + " tail"), (line, "head " + line), (line, line), ("a", "b"), ("a", "a b"), ("b", "a b"), ("b", "a b b"),
+        (" ".join(words[:50] * 3), " ".join(words[:50] * 3 + words[:5])), ("a b a b", "b a b a")])]
+    df = spark.createDataFrame([(a, -a, x, y) for a, x, y in rows], "a long, b long, a_value string, b_value string").repartition(8)
+    edits = {r.a: r for r in line_dedup._with_edits(df).select("a", "edits", "most").collect()}
+    middles = {r.a: r.d for r in line_dedup._with_middles(df.where("a > 0")).selectExpr("a", "levenshtein(a_middle, b_middle) d").collect()}
+    short = {a: brute.edit_distance(x, y) for a, x, y in rows[1:]}
+    wanted = {a: short[a] <= edits[a].most for a in short} | {0: True}
+    assert edits[0].edits <= edits[0].most
+    assert sum((edits[a].edits or 0) <= edits[a].most for a in range(1, 13)) == sum(wanted[a] for a in range(1, 13)) > 6
+    assert all(edits[a].edits is None or edits[a].edits >= min(d, edits[a].most + 1) for a, d in short.items())
+    assert {a: middles[a] for a in short} == short
+    for likely in (True, False):
+        assert {r.a: r.similar for r in line_dedup.similar_pairs(df.where("a > 0"), likely).collect()} == {a: w for a, w in wanted.items() if a}
+
+
 def test_similar_pairs_are_those_of_the_edit_distance(spark):
     """Random lines with words put in, taken out and replaced, and with letters replaced."""
     rng = random.Random(6)
